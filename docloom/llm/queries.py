@@ -20,4 +20,4 @@ QUERIES = {
     "op10_bpe_codec": op10_bpe_codec,
 }
 
-ORACLE_SQL = {"op3_url_filter": url_filter_sql("pages")}
+ORACLE_SQL = {"op3_url_filter": url_filter_sql()}

@@ -7,7 +7,7 @@ them differ from the host's by a total variation of at most ``similar`` are merg
 urls by the rules, smoothed: two pseudo-urls and each url without a label count one half. Urls without a rule are blocked if the purity
 of their template is at least ``reject``.
 
-One SQL text serves Spark and the DuckDB oracle; only built-in expressions are used. Counts are combined before each shuffle;
+The same SQL steps serve Spark and the DuckDB oracle; only built-in expressions are used. Counts are combined before each shuffle;
 the joins back to the urls are by (host, template), which adaptive execution splits for a hot host.
 
 Defined cases: null urls and urls without ``://`` have empty host and path and form a host of their own; repeated rows
@@ -18,11 +18,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm.common import table
+from docloom.llm.common import materialize, table
 
 #: (verdict, host/path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MIN_SUPPORT, MIN_SHARE, SIMILAR, REJECT = 5, 0.02, 0.25, 0.8
+#: Steps that several later ones read
+_WRITTEN = ("t0", "m1", "m2", "t3", "shapes", "judged")
 
 
 def _fits(rule: str) -> str:
@@ -31,59 +33,71 @@ def _fits(rule: str) -> str:
     return f"((host = '{host}' OR right(host, {len(host) + 1}) = '.{host}') AND substr(path, 1, {len(path)}) = '{path}')"
 
 
-def url_filter_sql(pages: str, rules=RULES, min_support=MIN_SUPPORT, min_share=MIN_SHARE, similar=SIMILAR, reject=REJECT) -> str:
-    """SQL over the relation ``pages`` (page_id, url) that runs unchanged on Spark and DuckDB."""
+def _steps(rules, min_support, min_share, similar, reject) -> list[tuple[str, str]]:
+    """(name, SQL) of each step; ``{name}`` stands for an earlier step or for pages. The last one is the result."""
     ordered = sorted(rules, key=lambda r: -len(r[1]))
     rule = "CASE " + " ".join(f"WHEN {_fits(r)} THEN '{r}'" for _, r in ordered) + " END"
     label = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in ordered) + " END"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-    def wild(segment: str) -> str:
-        return f"concat('*', regexp_extract({segment}, '([.][A-Za-z]+)$', 1))"
-
-    def level(k: int, source: str, prefix: str) -> str:
-        """c: urls by (parent, segment); p: by parent; then each segment's generalisation, joined back."""
-        return f"""
-        c{k} AS (SELECT {prefix}, s{k}, count(*) AS n FROM {source} GROUP BY {prefix}, s{k}),
-        p{k} AS (SELECT {prefix}, sum(n) AS total FROM c{k} GROUP BY {prefix}),
-        m{k} AS (SELECT {", ".join(f"c{k}.{x}" for x in prefix.split(", "))}, c{k}.s{k},
-            CASE WHEN c{k}.s{k} = '' THEN '' WHEN regexp_extract(c{k}.s{k}, '[0-9]', 0) = '' AND c{k}.n >= {min_support} AND c{k}.n >= {min_share} * p{k}.total THEN c{k}.s{k} ELSE {wild(f"c{k}.s{k}")} END AS g{k}
-            FROM c{k} JOIN p{k} ON {" AND ".join(f"c{k}.{x} = p{k}.{x}" for x in prefix.split(", "))}),
-        t{k} AS (SELECT {source}.*, m{k}.g{k} FROM {source} JOIN m{k} ON {" AND ".join(f"{source}.{x} = m{k}.{x}" for x in [*prefix.split(", "), f"s{k}"])})"""
-
-    return f"""
-    WITH raw AS (
-        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}') AS host,
-            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM {pages}),
-    ruled AS (SELECT page_id, host, path, {rule} AS rule FROM raw),
-    labelled AS (SELECT page_id, host, path, rule, {label} AS label, regexp_extract(path, '(?s)^/([^/]*)', 1) AS s1,
-        regexp_extract(path, '(?s)^/[^/]*/([^/]*)', 1) AS s2, regexp_extract(path, '(?s)^/[^/]*/[^/]*/([^/]*)', 1) AS s3,
-        CASE WHEN regexp_extract(path, '(?s)^/[^/]*/[^/]*/[^/]*(/)', 1) = '' THEN '' ELSE '/**' END AS s4 FROM ruled),
-    {level(1, "labelled", "host")},
-    {level(2, "t1", "host, g1")},
-    {level(3, "t2", "host, g1, g2")},
-    shapes AS (SELECT host, g1, concat('/', g2, '/', g3, s4) AS shape, count(*) AS n,
-        sum(CASE WHEN label = 'block' THEN 1 ELSE 0 END) AS blocked, sum(CASE WHEN label IS NOT NULL THEN 1 ELSE 0 END) AS judged
-        FROM t3 GROUP BY host, g1, concat('/', g2, '/', g3, s4)),
-    branch AS (SELECT host, g1, sum(n) AS branch_n FROM shapes GROUP BY host, g1),
-    pooled AS (SELECT host, shape, sum(n) AS shape_n FROM shapes GROUP BY host, shape),
-    whole AS (SELECT host, sum(n) AS host_n FROM shapes GROUP BY host),
-    overlap AS (SELECT s.host, s.g1, sum(least(s.n / (1.0 * b.branch_n), q.shape_n / (1.0 * w.host_n))) AS common
-        FROM shapes s JOIN branch b ON s.host = b.host AND s.g1 = b.g1 JOIN pooled q ON s.host = q.host AND s.shape = q.shape
-        JOIN whole w ON s.host = w.host GROUP BY s.host, s.g1),
-    merged AS (SELECT s.host, s.g1, s.shape, s.n, s.blocked, s.judged,
-        concat('/', CASE WHEN s.g1 <> '' AND substr(s.g1, 1, 1) <> '*' AND o.common >= 1 - {similar} THEN '+' ELSE s.g1 END, s.shape) AS template
-        FROM shapes s JOIN overlap o ON s.host = o.host AND s.g1 = o.g1),
-    purity AS (SELECT host, template, (sum(blocked) + 0.5 * (2 + sum(n) - sum(judged))) / (2.0 + sum(n)) AS purity FROM merged GROUP BY host, template),
-    judged AS (SELECT m.host, m.g1, m.shape, m.template, p.purity FROM merged m JOIN purity p ON m.host = p.host AND m.template = p.template)
-    SELECT t.page_id, t.host, t.path, t.rule, coalesce(t.label, CASE WHEN j.purity >= {reject} THEN 'block' ELSE 'allow' END) AS verdict,
-        j.template AS template, CAST(round(j.purity, 6) AS DOUBLE) AS purity
-    FROM t3 t JOIN judged j ON t.host = j.host AND t.g1 = j.g1 AND concat('/', t.g2, '/', t.g3, t.s4) = j.shape"""
-
-
-def url_filter(pages: DataFrame, **options) -> DataFrame:
-    """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, template, purity."""
-    return pages.sparkSession.sql(url_filter_sql("{pages}", **options), pages=pages.select("page_id", "url"))
+    steps = [
+        ("raw", f"""SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}') AS host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM {{pages}}"""),
+        ("ruled", f"SELECT page_id, host, path, {rule} AS rule FROM {{raw}}"),
+        ("t0", f"""SELECT page_id, host, path, rule, {label} AS label, regexp_extract(path, '(?s)^/([^/]*)', 1) AS s1,
+            regexp_extract(path, '(?s)^/[^/]*/([^/]*)', 1) AS s2, regexp_extract(path, '(?s)^/[^/]*/[^/]*/([^/]*)', 1) AS s3,
+            CASE WHEN regexp_extract(path, '(?s)^/[^/]*/[^/]*/[^/]*(/)', 1) = '' THEN '' ELSE '/**' END AS s4 FROM {{ruled}}"""),
+    ]
+    parents = ["host"]
+    for k in (1, 2, 3):
+        # c: urls by (parent, segment); p: by parent; m: each segment's generalisation, joined back to the urls
+        to, own = ", ".join(parents), ", ".join(f"c.{x}" for x in parents)
+        wild = "concat('*', regexp_extract(c.s, '([.][A-Za-z]+)$', 1))".replace("c.s", f"c.s{k}")
+        steps += [
+            (f"c{k}", f"SELECT {to}, s{k}, count(*) AS n FROM {{t{k - 1}}} GROUP BY {to}, s{k}"),
+            (f"p{k}", f"SELECT {to}, sum(n) AS total FROM {{c{k}}} GROUP BY {to}"),
+            (f"m{k}", f"""SELECT {own}, c.s{k}, CASE WHEN c.s{k} = '' THEN '' WHEN regexp_extract(c.s{k}, '[0-9]', 0) = ''
+                AND c.n >= {min_support} AND c.n >= {min_share} * p.total THEN c.s{k} ELSE {wild} END AS g{k}
+                FROM {{c{k}}} c JOIN {{p{k}}} p ON {" AND ".join(f"c.{x} = p.{x}" for x in parents)}"""),
+            (f"t{k}", f"SELECT t.*, m.g{k} FROM {{t{k - 1}}} t JOIN {{m{k}}} m ON {' AND '.join(f't.{x} = m.{x}' for x in [*parents, f's{k}'])}"),
+        ]
+        parents.append(f"g{k}")
+    return steps + [
+        ("shapes", """SELECT host, g1, concat('/', g2, '/', g3, s4) AS shape, count(*) AS n,
+            sum(CASE WHEN label = 'block' THEN 1 ELSE 0 END) AS blocked, sum(CASE WHEN label IS NOT NULL THEN 1 ELSE 0 END) AS judged
+            FROM {t3} GROUP BY host, g1, concat('/', g2, '/', g3, s4)"""),
+        ("branch", "SELECT host, g1, sum(n) AS branch_n FROM {shapes} GROUP BY host, g1"),
+        ("pooled", "SELECT host, shape, sum(n) AS shape_n FROM {shapes} GROUP BY host, shape"),
+        ("whole", "SELECT host, sum(n) AS host_n FROM {shapes} GROUP BY host"),
+        ("overlap", """SELECT s.host, s.g1, sum(least(s.n / (1.0 * b.branch_n), q.shape_n / (1.0 * w.host_n))) AS common
+            FROM {shapes} s JOIN {branch} b ON s.host = b.host AND s.g1 = b.g1 JOIN {pooled} q ON s.host = q.host AND s.shape = q.shape
+            JOIN {whole} w ON s.host = w.host GROUP BY s.host, s.g1"""),
+        ("merged", f"""SELECT s.host, s.g1, s.shape, s.n, s.blocked, s.judged,
+            concat('/', CASE WHEN s.g1 <> '' AND substr(s.g1, 1, 1) <> '*' AND o.common >= 1 - {similar} THEN '+' ELSE s.g1 END, s.shape) AS template
+            FROM {{shapes}} s JOIN {{overlap}} o ON s.host = o.host AND s.g1 = o.g1"""),
+        ("purity", "SELECT host, template, (sum(blocked) + 0.5 * (2 + sum(n) - sum(judged))) / (2.0 + sum(n)) AS purity FROM {merged} GROUP BY host, template"),
+        ("judged", "SELECT m.host, m.g1, m.shape, m.template, p.purity FROM {merged} m JOIN {purity} p ON m.host = p.host AND m.template = p.template"),
+        ("result", f"""SELECT t.page_id, t.host, t.path, t.rule, coalesce(t.label, CASE WHEN j.purity >= {reject} THEN 'block' ELSE 'allow' END) AS verdict,
+            j.template AS template, CAST(round(j.purity, 6) AS DOUBLE) AS purity
+            FROM {{t3}} t JOIN {{judged}} j ON t.host = j.host AND t.g1 = j.g1 AND concat('/', t.g2, '/', t.g3, t.s4) = j.shape"""),
+    ]
+
+
+def url_filter_sql(rules=RULES, min_support=MIN_SUPPORT, min_share=MIN_SHARE, similar=SIMILAR, reject=REJECT) -> str:
+    """All steps as one DuckDB statement over the table ``pages``."""
+    steps = _steps(rules, min_support, min_share, similar, reject)
+    names = {"pages": "pages"} | {name: name for name, _ in steps}
+    return "WITH " + ", ".join(f"{name} AS ({sql.format(**names)})" for name, sql in steps[:-1]) + " " + steps[-1][1].format(**names)
+
+
+def url_filter(pages: DataFrame, rules=RULES, min_support=MIN_SUPPORT, min_share=MIN_SHARE, similar=SIMILAR, reject=REJECT) -> DataFrame:
+    """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, template, purity. Each level of the tree is written once."""
+    frames = {"pages": pages.select("page_id", "url")}
+    for name, sql in _steps(rules, min_support, min_share, similar, reject):
+        used = {k: v for k, v in frames.items() if f"{{{k}}}" in sql}
+        frames[name] = pages.sparkSession.sql(sql, **used)
+        if name in _WRITTEN:
+            frames[name] = materialize(frames[name], f"urls-{name}")
+    return frames["result"]
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
