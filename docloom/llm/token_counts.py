@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from docloom.llm.common import shared_dir, table
 
 LIMIT = 2048
-#: Distinct parts that a worker keeps (about 150 MB).
-KEPT_PARTS = 600_000
+#: Distinct parts that a worker keeps (about 200 MB).
+KEPT_PARTS = 900_000
 _CACHE_SCHEMA = "content binary, version string, n_tokens long"
 _loaded: dict[str, object] = {}
 
@@ -53,31 +54,71 @@ def splits_at_blanks(path: str) -> bool:
     steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
     split = steps[0]
     own = split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed" and split["pattern"].get("Regex", "").endswith("[^\\s\\p{L}\\p{N}]+")
-    return bool(squeezes and own and not any(" " in x["content"] or x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] for x in spec["added_tokens"]))
+    return bool(squeezes and own and spec["model"].get("end_of_word_suffix") == "</w>" and not any(" " in x["content"] or x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] for x in spec["added_tokens"]))
 
 
 class PartEncoder:
-    """ids of texts as the library gives them, with each distinct part between blanks encoded once."""
+    """ids of texts as the library gives them, with each distinct part between blanks encoded once.
+
+    A part that is a word of letters below U+0300, with a full stop or comma at most behind it, has the pieces of the lower-cased
+    word and of the mark. Such words are encoded many at a time; as each gives one piece, its ids end with the next word-end token.
+    """
 
     def __init__(self, path: str, convert):
+        """``convert`` maps ids to their bytes or their number."""
         self.tokenizer, self.split, self.convert, self.known = load_tokenizer(path), splits_at_blanks(path), convert, {}
+        if self.split:
+            self.word_end = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+            self.word_end[[i for s, i in self.tokenizer.get_vocab().items() if s.endswith("</w>")]] = True
+
+    def _encode(self, parts: list[str]) -> None:
+        for first in range(0, len(parts), 20_000):
+            some = parts[first : first + 20_000]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[p] = self.convert(e.ids)
+
+    def _encode_words(self, words: list[str]) -> None:
+        groups = [words[k : k + 500] for k in range(0, len(words), 500)]
+        for some, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(x) for x in groups], add_special_tokens=False), strict=True):
+            ids = e.ids
+            ends = np.flatnonzero(self.word_end[np.array(ids, dtype=np.int64)]) + 1
+            if len(ends) != len(some):
+                self._encode(some)
+                continue
+            whole, step = self.convert(ids), self.convert([0])
+            starts = [0, *ends[:-1].tolist()]
+            if isinstance(whole, bytes):
+                k = len(step)
+                self.known.update({p: whole[k * a : k * b] for p, a, b in zip(some, starts, ends.tolist(), strict=True)})
+            else:
+                self.known.update(zip(some, (ends - starts).tolist(), strict=True))
+
+    def _learn(self, missing: set[str]) -> None:
+        known, words, composed, others = self.known, set(), [], []
+        for p in missing:
+            low = p.lower()
+            mark = low[-1:] if low[-1:] in (".", ",") else ""
+            word = low[:-1] if mark else low
+            if word.isalpha() and (word.isascii() or max(word) < "\u0300"):
+                words.add(word)
+                composed.append((p, word, mark))
+            else:
+                others.append(p)
+        self._encode([*others, *(m for m in (".", ",") if m not in known)])
+        self._encode_words([w for w in words if w not in known])
+        for p, word, mark in composed:
+            known[p] = known[word] + known[mark] if mark else known[word]
 
     def __call__(self, texts: list[str | None]) -> list[list]:
         """For each text, ``convert(ids)`` of its parts in order."""
         if not self.split:
             return [[self.convert(e.ids)] for e in self.tokenizer.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
         parts = [(x or "").replace("\n", " ").split(" ") for x in texts]
-        known = self.known
-        missing = {p for some in parts for p in some if p not in known}
-        if len(known) + len(missing) > KEPT_PARTS:
-            known.clear()
-            missing = {p for some in parts for p in some}
-        missing = list(missing)
-        for first in range(0, len(missing), 20_000):
-            some = missing[first : first + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[p] = self.convert(e.ids)
-        get = known.__getitem__
+        if len(self.known) > KEPT_PARTS:
+            self.known.clear()
+        if missing := set().union(*parts).difference(self.known):
+            self._learn(missing)
+        get = self.known.__getitem__
         return [list(map(get, some)) for some in parts]
 
 
