@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.session import ship_package
+
 U64 = np.uint64
 #: Bytes of text that a kernel works on at once (a longer single document is worked on whole).
 CHUNK_BYTES = 4 << 20
@@ -21,11 +23,13 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
+    ship_package(spark)
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = tempfile.mkdtemp(prefix="docloom-")

@@ -3,11 +3,11 @@
 A document's set holds the 64-bit hashes of its distinct shingles of five words. Documents with Jaccard similarity t share a token among
 the first ``n - ceil(t n) + 1`` tokens of both, under any global order of all tokens. Each order here puts frequent tokens last
 (by counts over all documents, kept per task as mergeable summaries of bounded size) and shuffles the rest by its own hash. The
-first order's prefixes are dealt out by token and give candidates; a candidate must also share a token in the prefixes
-of the other orders before its sets are intersected.
+first order's prefixes are dealt out by token and give candidates. A candidate goes on only if its sizes and its counts per hash class
+allow the threshold, and if the documents also share a token in the prefixes of the other orders; then its sets are intersected.
 
 Documents with equal sets form a class, of which the first member stands for all. Prefix groups of at most ``small`` members give all their pairs. In a larger group
-every member is first compared with a few pivots; then only pairs whose ends are not yet connected are compared, until none is left. So no link
+every member is first compared with a few pivots, then with its likeliest partners in other components, then with all partners that are still in other components. So no link
 that joins two components is lost, and members that are connected already are not compared again.
 
 Defined cases: A-Z are lower-cased; null text and texts without words have an empty set and link with nothing; with fewer than
@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 from docloom.llm.common import Substrings, Words, batches, byte_values, materialize, mix, repeated, shingles, table
 from docloom.llm.components import components
 
-SIZE, PERCENT, SMALL, PIVOTS = 5, 75, 6, 3
+SIZE, PERCENT, SMALL, PIVOTS, LIKELIEST = 5, 75, 6, 3, 4
 #: Counters in a summary of token frequencies; tokens of more than 1/SUMMARY of all occurrences are surely in it.
 SUMMARY = 40_000
 #: Token orders beside the first.
 ORDERS = 2
+_PROFILE = ["rid", "doc_id", "n", "key", "classes", "tokens", "counts"]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -77,6 +78,44 @@ def prefixes(tokens: np.ndarray, offsets: np.ndarray, order: Order, percent: int
     return tokens[at][keep], of[keep]
 
 
+def class_counts(tokens: np.ndarray) -> bytes:
+    """How many of the tokens fall into each hash class, about four to a class; one byte each, the last value standing for any more."""
+    k = 1 << max(4, math.ceil(math.log2(max(1, len(tokens)) / 4)))
+    return np.minimum(np.bincount((mix(tokens) & np.uint64(k - 1)).astype(np.int64), minlength=k), 255).astype(np.uint8).tobytes()
+
+
+def may_link(n: int, counts: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the sets ``others``, a row of counts each, can reach the threshold with a set of n; these ones' bounds on the shared tokens): no more are shared than the classes' lesser counts add up to."""
+    small, large = np.minimum(sizes, n), np.maximum(sizes, n)
+    ok = small * 100 >= percent * large
+    most = np.zeros(0, np.int64)
+    if ok.any():
+        a, b = counts.astype(np.int32), others[ok].astype(np.int32)
+        full = (a.max(initial=0) >= 255) | (b.max(axis=1, initial=0) >= 255)
+        k = min(len(a), b.shape[1])
+        a, b = a.reshape(-1, k).sum(axis=0), b.reshape(len(b), -1, k).sum(axis=1)
+        most = np.minimum(a, b).sum(axis=1)
+        fits = full | (100 * most >= percent * (n + sizes[ok] - most))
+        ok[np.flatnonzero(ok)] = fits
+        most = most[fits]
+    return ok, most
+
+
+def _possible(percent: int):
+    """Drops pairs that cannot reach the threshold by their sizes and class counts."""
+
+    def run(reader):
+        for batch in reader:
+            na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            near = np.minimum(na, nb) * 100 >= percent * np.maximum(na, nb)
+            batch = batch.filter(pa.array(near))
+            na, nb = na[near], nb[near]
+            keep = [bool(may_link(x, np.frombuffer(p, np.uint8), np.array([y]), np.frombuffer(q, np.uint8)[None, :], percent)[0][0]) for x, y, p, q in zip(na.tolist(), nb.tolist(), batch.column("c_a").to_pylist(), batch.column("c_b").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _profile(reader):
     """Per row its set's size and digest; and per task one row with its summary of frequent tokens."""
     tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -84,7 +123,7 @@ def _profile(reader):
         h, offsets = shingle_sets(texts)
         keys = [hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         n = len(texts)
-        yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(keys, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], ["rid", "doc_id", "n", "key", "tokens", "counts"])
+        yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(keys, pa.binary()), pa.array((class_counts(h[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)), pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], _PROFILE)
         everything, new = np.concatenate([tokens, h]), np.concatenate([counts, np.ones(len(h), np.int64)])
         order = np.argsort(everything, kind="stable")
         s = everything[order]
@@ -95,8 +134,8 @@ def _profile(reader):
             tokens, counts = tokens[counts > cut], counts[counts > cut] - cut
     if len(tokens):
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([tokens.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
-            ["rid", "doc_id", "n", "key", "tokens", "counts"],
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([tokens.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
+            _PROFILE,
         )
 
 
@@ -214,29 +253,41 @@ def _verifier(orders: list[Order], percent: int):
     return run
 
 
-def _cross(reader):
-    """Of each group (token; rid, component; sorted), the pairs of members in different components. The largest component's members meet only the others."""
+def _cross(percent: int, most: int | None):
+    """Of each group (token; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given."""
+
+    def close(rows):
+        r, c, n = (np.array([x[k] for x in rows]) for k in ("b", "root", "n"))
+        tables = {}
+        for size in {len(x["classes"]) for x in rows}:
+            at = np.array([i for i, x in enumerate(rows) if len(x["classes"]) == size])
+            tables[size] = at, np.frombuffer(b"".join(rows[i]["classes"] for i in at), np.uint8).reshape(len(at), size)
+        _, which, sizes = np.unique(c, return_inverse=True, return_counts=True)
+        rank = np.argsort(np.argsort(-sizes, kind="stable"))[which]  # the largest component first
+        for i in np.flatnonzero(rank > 0).tolist():
+            mine = np.frombuffer(rows[i]["classes"], np.uint8)
+            for at, counts in tables.values():
+                lower = rank[at] < rank[i]
+                ok, bound = may_link(int(n[i]), mine, n[at[lower]], counts[lower], percent)
+                some = at[lower][ok]
+                if most is not None and len(some) > most:
+                    some = some[np.lexsort((r[some], n[some] - bound))[:most]]
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(r[some], r[i])), pa.array(np.maximum(r[some], r[i]))], ["a", "b"])
 
-    def close(rids, comps):
-        r, c = np.array(rids), np.array(comps)
-        for x in np.unique(c)[1:]:
-            mine, lower = r[c == x], r[c < x]
-            for one in mine.tolist():
-                for s in range(0, len(lower), 50_000):
-                    some = lower[s : s + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(some, one)), pa.array(np.maximum(some, one))], ["a", "b"])
+    def run(reader):
+        token, rows = None, []
+        for batch in reader:
+            for x in batch.to_pylist():
+                if x["a"] != token:
+                    if rows:
+                        yield from close(rows)
+                    token, rows = x["a"], []
+                rows.append(x)
+        if rows:
+            yield from close(rows)
 
-    token, rids, comps = None, [], []
-    for batch in reader:
-        for t, r, c in zip(*(batch.column(x).to_pylist() for x in ("a", "b", "root")), strict=True):
-            if t != token:
-                if rids:
-                    yield from close(rids, comps)
-                token, rids, comps = t, [], []
-            rids.append(r)
-            comps.append(c)
-    if rids:
-        yield from close(rids, comps)
+    return run
 
 
 def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
@@ -244,12 +295,18 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> D
     spark = docs.sparkSession
     # Positions of rows: the scan's partitions do not change between its uses.
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = materialize(rows.mapInArrow(_profile, "rid long, doc_id long, n long, key binary, tokens binary, counts binary"), "profile")
+    profile = materialize(rows.mapInArrow(_profile, "rid long, doc_id long, n long, key binary, classes binary, tokens binary, counts binary"), "profile")
     # At most SUMMARY tokens, the most frequent
     top = profile.filter("tokens is not null").select("tokens", "counts").mapInArrow(_unpack, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 8").orderBy(F.desc("n"), "token").limit(SUMMARY).toPandas()
     frequent, counts = top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     orders = [Order(frequent, counts, k) for k in range(ORDERS + 1)]
     sets = profile.filter("rid is not null").select("rid", "doc_id", "n", "key")
+    counted = profile.filter("rid is not null").select("rid", "n", "classes")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(counted.toDF("a", "n_a", "c_a"), "a").join(counted.toDF("b", "n_b", "c_b"), "b")
+        return both.select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(_possible(percent), "a long, b long")
+
     classes = sets.filter("key is not null").groupBy("key").agg(F.min("rid").alias("rep"))
     # Fewer rows than the representatives, so that the join can stay without a shuffle where they are few
     copies = materialize(sets.join(classes, "key").filter(F.col("rid") != F.col("rep")).select("rid"), "copies")
@@ -258,26 +315,24 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> D
     dealt = texts.mapInArrow(_dealer(orders[0], parts), "part int, tokens binary, rid long, steps binary")
     grouped = dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_grouper(small, PIVOTS), "pair boolean, a long, b long")
     grouped = materialize(grouped, "groups")
-    pairs = grouped.filter("pair").select("a", "b").distinct()
+    pairs = possible(grouped.filter("pair").select("a", "b").distinct())
     members = grouped.filter("not pair").select("a", "b")
-    links = spark.createDataFrame([], "a long, b long")
-    joined = spark.createDataFrame([], "node long, root long")
-    while True:
-        pairs = materialize(pairs, "candidates")
-        if pairs.isEmpty():
-            break
+    def verified(pairs: DataFrame) -> DataFrame:
         half = pairs.join(rows.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
         whole = half.join(rows.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-        found = materialize(whole.mapInArrow(_verifier(orders[1:], percent), "a long, b long"), "verified")
-        done = pairs if joined.isEmpty() else done.union(pairs)  # noqa: F821
-        links = links.union(found)
-        joined = materialize(components(links), "joined")
-        if members.isEmpty():
-            break
+        return materialize(whole.mapInArrow(_verifier(orders[1:], percent), "a long, b long"), "verified")
+
+    done = materialize(pairs, "candidates")
+    links = verified(done)
+    joined = materialize(components(links), "joined")
+    for most in (LIKELIEST, None):
         own = members.join(joined.withColumnRenamed("node", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
         open_ = own.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("a")
-        rest = own.join(open_, "a").repartition("a").sortWithinPartitions("a").mapInArrow(_cross, "a long, b long").distinct()
-        pairs = rest.join(done, ["a", "b"], "left_anti")
+        own = own.join(open_, "a").join(counted.withColumnRenamed("rid", "b"), "b").select("a", "b", "root", "n", "classes")
+        rest = own.repartition("a").sortWithinPartitions("a").mapInArrow(_cross(percent, most), "a long, b long").distinct()
+        pairs = materialize(rest.join(done, ["a", "b"], "left_anti"), "candidates")
+        done, links = done.union(pairs), links.union(verified(pairs))
+        joined = materialize(components(links), "joined")
     own = sets.join(classes, "key", "left").join(joined.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     low = own.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return own.join(low, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
