@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import Substrings, Words, batches, byte_values, materialize, mix, repeated, shingles, table
@@ -290,8 +290,8 @@ def _cross(percent: int, most: int | None):
     return run
 
 
-def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id that its links reach)."""
+def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
+    """Per row of ``docs``: rid (its position), doc_id, n, root (of its component; null for an empty set)."""
     spark = docs.sparkSession
     # Positions of rows: the scan's partitions do not change between its uses.
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -334,17 +334,22 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> D
         done, links = done.union(pairs), links.union(verified(pairs))
         joined = materialize(components(links), "joined")
     own = sets.join(classes, "key", "left").join(joined.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    return own.select("rid", "doc_id", "n", "root")
+
+
+def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id that its links reach)."""
+    own = _joined(docs, percent, small)
     low = own.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return own.join(low, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` for each component: of the rows with the component's smallest id, one; rows that link with nothing all stay."""
-    found = ngram_join(docs, **options)
-    keep = found.groupBy("component_id").agg(F.max("n_shingles").alias("__n")).select(F.col("component_id").alias("__id"), "__n")
-    out = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return out.withColumn("__first", first).filter((F.col("__n") == 0) | F.col("doc_id").isNull() | (F.col("__first") == 1)).select(*docs.columns)
+def keep_first(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
+    """Of each component one row of ``docs``, with the smallest id, stays; rows with an empty set all stay."""
+    own = _joined(docs, percent, small)
+    first = own.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("f")).select(F.col("f.rid").alias("__rid"))
+    keep = first.union(own.filter("root is null").select(F.col("rid").alias("__rid")))
+    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(materialize(keep, "kept"), "__rid", "left_semi").select(*docs.columns)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
