@@ -254,7 +254,24 @@ def _verifier(orders: list[Order], percent: int):
 
 
 def _cross(percent: int, most: int | None):
-    """Of each group (token; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given."""
+    """Of each group (token; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given.
+
+    A pair that shares several large groups is left to the one with the least token.
+    """
+
+    def shares_before(token, rows):
+        """For each member the bits of the tokens before this one that it shares with another member."""
+        owners = np.repeat(np.arange(len(rows)), [len(x["tokens"]) for x in rows])
+        tokens = np.concatenate([np.array(x["tokens"], dtype=np.int64) for x in rows])
+        owners, tokens = owners[tokens < token], tokens[tokens < token]
+        _, code, count = np.unique(tokens, return_inverse=True, return_counts=True)
+        dense = np.cumsum(count > 1) - 1
+        keep = count[code] > 1
+        width = int((count > 1).sum())
+        bits = np.zeros((len(rows), -(-max(1, width) // 8)), np.uint8)
+        at = dense[code[keep]]
+        np.bitwise_or.at(bits, (owners[keep], at // 8), (1 << (at % 8)).astype(np.uint8))
+        return bits
 
     def close(rows):
         r, c, n = (np.array([x[k] for x in rows]) for k in ("b", "root", "n"))
@@ -264,12 +281,15 @@ def _cross(percent: int, most: int | None):
             tables[size] = at, np.frombuffer(b"".join(rows[i]["classes"] for i in at), np.uint8).reshape(len(at), size)
         _, which, sizes = np.unique(c, return_inverse=True, return_counts=True)
         rank = np.argsort(np.argsort(-sizes, kind="stable"))[which]  # the largest component first
+        before = shares_before(rows[0]["a"], rows)
         for i in np.flatnonzero(rank > 0).tolist():
             mine = np.frombuffer(rows[i]["classes"], np.uint8)
             for at, counts in tables.values():
                 lower = rank[at] < rank[i]
                 ok, bound = may_link(int(n[i]), mine, n[at[lower]], counts[lower], percent)
                 some = at[lower][ok]
+                own = ~(before[some] & before[i]).any(axis=1)
+                some, bound = some[own], bound[own]
                 if most is not None and len(some) > most:
                     some = some[np.lexsort((r[some], n[some] - bound))[:most]]
                 if len(some):
@@ -322,13 +342,15 @@ def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
         whole = half.join(rows.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
         return materialize(whole.mapInArrow(_verifier(orders[1:], percent), "a long, b long"), "verified")
 
+    large = members.groupBy("b").agg(F.collect_list("a").alias("tokens"))  # at most a document's prefix
     done = materialize(pairs, "candidates")
     links = verified(done)
     joined = materialize(components(links), "joined")
     for most in (LIKELIEST, None):
         own = members.join(joined.withColumnRenamed("node", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
         open_ = own.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("a")
-        own = own.join(open_, "a").join(counted.withColumnRenamed("rid", "b"), "b").select("a", "b", "root", "n", "classes")
+        about = counted.withColumnRenamed("rid", "b").join(large, "b")
+        own = own.join(open_, "a").join(about, "b").select("a", "b", "root", "n", "classes", "tokens")
         rest = own.repartition("a").sortWithinPartitions("a").mapInArrow(_cross(percent, most), "a long, b long").distinct()
         pairs = materialize(rest.join(done, ["a", "b"], "left_anti"), "candidates")
         done, links = done.union(pairs), links.union(verified(pairs))
