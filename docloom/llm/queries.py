@@ -6,6 +6,7 @@ from docloom.llm.best_fit_packing import op5_best_fit_packing
 from docloom.llm.bpe_codec import op10_bpe_codec
 from docloom.llm.embedding_dedup import op4_embedding_dedup
 from docloom.llm.ngram_join import op8_ngram_join
+from docloom.llm.passage_dedup import op7_passage_dedup
 from docloom.llm.quality_rules import op1_quality_rules
 from docloom.llm.suffix_dedup import op2_suffix_dedup
 from docloom.llm.token_counts import op6_token_counts
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_passage_dedup": op7_passage_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_toxicity": op9_toxicity,
     "op10_bpe_codec": op10_bpe_codec,
