@@ -180,16 +180,21 @@ def _grouper(small: int, pivots: int):
                 for j in range(i + 1, k):
                     left.append(r[at + i])
                     right.append(r[at + j])
-        token, member = [], []
+        token, member, known = [], [], set()
         for a, n in zip(start[size > small].tolist(), size[size > small].tolist(), strict=True):
             group = r[a : a + n]
+            # Groups of the same members are one: their name is a digest of these. (Two that share a name by chance only give more pairs.)
+            name = hashlib.blake2b(group.tobytes(), digest_size=8).digest()
+            if name in known:
+                continue
+            known.add(name)
             # Pivots that other groups of the same documents choose too: the first, and the least by two hashes
             chosen = {int(group[0]), *(int(group[np.argmin(mix(group.view(np.uint64) ^ np.uint64(77 * k)))]) for k in range(1, pivots))}
             for p in chosen:
                 others = group[group != p]
                 left.append(np.minimum(others, p))
                 right.append(np.maximum(others, p))
-            token.append(np.repeat(t[a : a + 1].view(np.int64), n))
+            token.append(np.repeat(np.frombuffer(name, np.int64), n))
             member.append(group)
         none = np.zeros(0, np.int64)
         left, right = (np.concatenate(x) if x else none for x in (left, right))
@@ -254,9 +259,9 @@ def _verifier(orders: list[Order], percent: int):
 
 
 def _cross(percent: int, most: int | None):
-    """Of each group (token; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given.
+    """Of each group (name; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given.
 
-    A pair that shares several large groups is left to the one with the least token.
+    A pair that shares several large groups is left to the one with the least name.
     """
 
     def shares_before(token, rows):
@@ -336,21 +341,22 @@ def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
     grouped = dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_grouper(small, PIVOTS), "pair boolean, a long, b long")
     grouped = materialize(grouped, "groups")
     pairs = possible(grouped.filter("pair").select("a", "b").distinct())
-    members = grouped.filter("not pair").select("a", "b")
+    members = materialize(grouped.filter("not pair").select("a", "b").distinct(), "members")
     def verified(pairs: DataFrame) -> DataFrame:
         half = pairs.join(rows.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
         whole = half.join(rows.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
         return materialize(whole.mapInArrow(_verifier(orders[1:], percent), "a long, b long"), "verified")
 
-    large = members.groupBy("b").agg(F.collect_list("a").alias("tokens"))  # at most a document's prefix
     done = materialize(pairs, "candidates")
     links = verified(done)
     joined = materialize(components(links), "joined")
     for most in (LIKELIEST, None):
         own = members.join(joined.withColumnRenamed("node", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
         open_ = own.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("a")
-        about = counted.withColumnRenamed("rid", "b").join(large, "b")
-        own = own.join(open_, "a").join(about, "b").select("a", "b", "root", "n", "classes", "tokens")
+        own = materialize(own.join(open_, "a"), "open")
+        listed = own.groupBy("b").agg(F.collect_list("a").alias("tokens"))  # the open groups of one document
+        about = counted.withColumnRenamed("rid", "b").join(listed, "b")
+        own = own.join(about, "b").select("a", "b", "root", "n", "classes", "tokens")
         rest = own.repartition("a").sortWithinPartitions("a").mapInArrow(_cross(percent, most), "a long, b long").distinct()
         pairs = materialize(rest.join(done, ["a", "b"], "left_anti"), "candidates")
         done, links = done.union(pairs), links.union(verified(pairs))
