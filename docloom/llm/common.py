@@ -15,7 +15,7 @@ from docloom.session import ship_package
 
 U64 = np.uint64
 #: Bytes of text that a kernel works on at once (a longer single document is worked on whole).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
