@@ -19,6 +19,8 @@ CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+#: What operators keep in a worker between tasks; an operator that needs room for whole texts empties it.
+WORKER_CACHES: list[dict] = []
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -164,6 +166,8 @@ def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, n
 
 def batches(reader: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches, with their texts, of about CHUNK_BYTES each."""
+    for kept in WORKER_CACHES:
+        kept.clear()
     for batch in reader:
         texts = as_bytes(batch.column(batch.schema.get_field_index(column)))
         for first, part in pieces(texts):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import shared_dir, table
+from docloom.llm.common import WORKER_CACHES, shared_dir, table
 
 LIMIT = 2048
 #: Distinct parts that a worker keeps (about 150 MB).
@@ -67,6 +67,7 @@ class PartEncoder:
     def __init__(self, path: str, convert):
         """``convert`` maps ids to their bytes or their number."""
         self.tokenizer, self.split, self.convert, self.known = load_tokenizer(path), splits_at_blanks(path), convert, {}
+        WORKER_CACHES.append(self.known)
         if self.split:
             self.word_end = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
             self.word_end[[i for s, i in self.tokenizer.get_vocab().items() if s.endswith("</w>")]] = True
