@@ -267,7 +267,7 @@ def _cross(percent: int, most: int | None):
     def shares_before(token, rows):
         """For each member the bits of the tokens before this one that it shares with another member."""
         owners = np.repeat(np.arange(len(rows)), [len(x["tokens"]) for x in rows])
-        tokens = np.concatenate([np.array(x["tokens"], dtype=np.int64) for x in rows])
+        tokens = np.concatenate([x["tokens"] for x in rows])
         owners, tokens = owners[tokens < token], tokens[tokens < token]
         _, code, count = np.unique(tokens, return_inverse=True, return_counts=True)
         dense = np.cumsum(count > 1) - 1
@@ -303,7 +303,10 @@ def _cross(percent: int, most: int | None):
     def run(reader):
         token, rows = None, []
         for batch in reader:
-            for x in batch.to_pylist():
+            listed = batch.column("tokens")
+            values, cuts = listed.values.to_numpy(), listed.offsets.to_numpy()
+            for k, x in enumerate(batch.select(["a", "b", "root", "n", "classes"]).to_pylist()):
+                x["tokens"] = values[cuts[k] : cuts[k + 1]]
                 if x["a"] != token:
                     if rows:
                         yield from close(rows)
