@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -21,17 +23,34 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 #: What operators keep in a worker between tasks; an operator that needs room for whole texts empties it.
 WORKER_CACHES: list[dict] = []
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _powers: dict[int, np.ndarray] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and keep Arrow batches of whole texts small unless the session sets their size itself."""
     ship_package(spark)
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1500")
+
+
+def release_memory() -> None:
+    """Give memory that a worker has freed back to the system."""
+    for kept in WORKER_CACHES:
+        kept.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
-    ship_package(spark)
+    prepare(spark)
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = tempfile.mkdtemp(prefix="docloom-")
@@ -166,9 +185,9 @@ def shingles(words: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, n
 
 def batches(reader: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches, with their texts, of about CHUNK_BYTES each."""
-    for kept in WORKER_CACHES:
-        kept.clear()
+    release_memory()
     for batch in reader:
         texts = as_bytes(batch.column(batch.schema.get_field_index(column)))
         for first, part in pieces(texts):
             yield batch.slice(first, len(part)), part
+    release_memory()
