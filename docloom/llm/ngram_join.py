@@ -32,6 +32,8 @@ SIZE, PERCENT, SMALL, PIVOTS, LIKELIEST = 5, 75, 6, 3, 4
 SUMMARY = 40_000
 #: Token orders beside the first.
 ORDERS = 2
+#: Names of large groups, the least ones, that a member carries to tell which group a pair is left to.
+NAMES = 16
 _PROFILE = ["rid", "doc_id", "n", "key", "classes", "tokens", "counts"]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -261,11 +263,12 @@ def _verifier(orders: list[Order], percent: int):
 def _cross(percent: int, most: int | None):
     """Of each group (name; rid, component), the possible pairs of members in different components; at most ``most`` for a member, the likeliest, if given.
 
-    A pair that shares several large groups is left to the one with the least name.
+    A pair that shares several large groups is left to the one with the least name, as far as its members carry it; so each pair
+    comes out at that group, and rarely at others too.
     """
 
     def shares_before(token, rows):
-        """For each member the bits of the tokens before this one that it shares with another member."""
+        """For each member the bits of the carried tokens before this one that it shares with another member."""
         owners = np.repeat(np.arange(len(rows)), [len(x["tokens"]) for x in rows])
         tokens = np.concatenate([x["tokens"] for x in rows])
         owners, tokens = owners[tokens < token], tokens[tokens < token]
@@ -357,7 +360,8 @@ def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
         own = members.join(joined.withColumnRenamed("node", "b"), "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
         open_ = own.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("a")
         own = materialize(own.join(open_, "a"), "open")
-        listed = own.groupBy("b").agg(F.collect_list("a").alias("tokens"))  # the open groups of one document
+        # Of a document's open groups the least few: what is carried must not grow with the square of their number
+        listed = own.groupBy("b").agg(F.slice(F.array_sort(F.collect_list("a")), 1, NAMES).alias("tokens"))
         about = counted.withColumnRenamed("rid", "b").join(listed, "b")
         own = own.join(about, "b").select("a", "b", "root", "n", "classes", "tokens")
         rest = own.repartition("a").sortWithinPartitions("a").mapInArrow(_cross(percent, most), "a long, b long").distinct()
