@@ -258,6 +258,14 @@ def test_passages(docs, empty):
     assert passage_dedup.passage_dedup(empty).count() == 0
 
 
+def test_passages_within_one_text(spark):
+    passage, between = " ".join(f"p{k}" for k in range(70)), " ".join(f"m{k}" for k in range(200))
+    df = _stored(spark, [(1, f"{passage} {between} {passage}", "en", "s", 1), (2, " ".join(f"z{k}" for k in range(300)), "en", "s", 1)], SCHEMA)
+    got = rows_of(passage_dedup.passage_dedup(df), "doc_id", "start_word", "end_word", "other_doc_id")
+    assert all(r[0] == 1 and r[3] == 1 for r in got)
+    assert any(a <= 3 and e >= 67 for _, a, e, _ in got) and any(a <= 273 and e >= 337 for _, a, e, _ in got)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
