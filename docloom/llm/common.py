@@ -36,6 +36,7 @@ def prepare(spark: SparkSession) -> None:
 
 def release_memory() -> None:
     """Give memory that a worker has freed back to the system."""
+    _powers.clear()
     for kept in WORKER_CACHES:
         kept.clear()
     pa.default_memory_pool().release_unused()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import WORKER_CACHES, shared_dir, table
+from docloom.llm.common import WORKER_CACHES, release_memory, shared_dir, table
 
 LIMIT = 2048
 #: Distinct parts that a worker keeps (about 150 MB).
@@ -71,6 +71,7 @@ class PartEncoder:
         if self.split:
             self.word_end = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
             self.word_end[[i for s, i in self.tokenizer.get_vocab().items() if s.endswith("</w>")]] = True
+        release_memory()
 
     def _encode(self, parts: list[str]) -> None:
         for first in range(0, len(parts), 20_000):
@@ -130,7 +131,7 @@ def part_encoder(path: str, kind: str, convert) -> PartEncoder:
     return _loaded[key]
 
 
-def rows_of(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def rows_of(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Slices of a batch of about ``most`` characters of text, with their texts."""
     texts = batch.column(column).to_pylist()
     first = size = 0
