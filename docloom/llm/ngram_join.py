@@ -32,6 +32,8 @@ SIZE, PERCENT, SMALL, PIVOTS, LIKELIEST = 5, 75, 6, 3, 4
 SUMMARY = 40_000
 #: Token orders beside the first.
 ORDERS = 2
+#: A set has at least 2 ** CLASS_BITS hash classes, so that short sets get tight bounds too.
+CLASS_BITS = 7
 #: Names of large groups, the least ones, that a member carries to tell which group a pair is left to.
 NAMES = 16
 _PROFILE = ["rid", "doc_id", "n", "key", "classes", "tokens", "counts"]
@@ -81,8 +83,8 @@ def prefixes(tokens: np.ndarray, offsets: np.ndarray, order: Order, percent: int
 
 
 def class_counts(tokens: np.ndarray) -> bytes:
-    """How many of the tokens fall into each hash class, about four to a class; one byte each, the last value standing for any more."""
-    k = 1 << max(4, math.ceil(math.log2(max(1, len(tokens)) / 4)))
+    """How many of the tokens fall into each hash class, about four to a class but never fewer than 2 ** CLASS_BITS classes; one byte each, the last value standing for any more."""
+    k = 1 << max(CLASS_BITS, math.ceil(math.log2(max(1, len(tokens)) / 4)))
     return np.minimum(np.bincount((mix(tokens) & np.uint64(k - 1)).astype(np.int64), minlength=k), 255).astype(np.uint8).tobytes()
 
 
