@@ -241,14 +241,15 @@ def test_toxicity(spark):
     assert toxicity.train(df, lab.limit(0)).words.keys() == set(toxicity.SEED_INSULTS)
 
 
-def test_passages(docs, empty):
+@pytest.mark.parametrize("small", [passage_dedup.SMALL, 1])
+def test_passages(docs, empty, small):
     words = {k: WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for k, (_, t, *_) in enumerate(corpus())}
     where = defaultdict(set)
     for k, w in words.items():
         for s in range(len(w) - 49):
             where[tuple(w[s : s + 50])].add((k, s))
     found = defaultdict(list)
-    for r in passage_dedup.passage_dedup(docs).collect():
+    for r in passage_dedup.passage_dedup(docs, small=small).collect():
         found[r["doc_id"]].append((r["start_word"], r["end_word"]))
     ids = [i for i, *_ in corpus()]
     for places in where.values():
@@ -266,6 +267,32 @@ def test_passages_within_one_text(spark):
     assert any(a <= 3 and e >= 67 for _, a, e, _ in got) and any(a <= 273 and e >= 337 for _, a, e, _ in got)
 
 
+def test_passages_that_no_pivot_shares(spark, monkeypatch):
+    """With one pivot, members near a common phrase find their partners among the rest of the group."""
+    rng = random.Random(12)
+    phrase = [f"c{k}" for k in range(24)]
+    rows = []
+    for family in range(6):
+        before, after = ([f"{side}{family}x{k}" for k in range(30)] for side in "ba")
+        for copy in range(4):
+            passage = before + phrase + after
+            for _ in range(2 * (copy > 0)):
+                passage[rng.choice([*range(28), *range(56, 84)])] = f"e{rng.random()}"
+            around = [[f"o{family}x{copy}x{side}x{k}" for k in range(40)] for side in (0, 1)]
+            rows.append((10 * family + copy, " ".join(around[0] + passage + around[1]), "en", "s", 1))
+    rows += [(1000 + i, " ".join([*(f"l{i}x{k}" for k in range(40)), *phrase, *(f"r{i}x{k}" for k in range(40))]), "en", "s", 1) for i in range(20)]
+    df = _stored(spark, rows, SCHEMA)
+
+    def marked(small):
+        return {(r["doc_id"], w) for r in passage_dedup.passage_dedup(df, small=small).collect() for w in range(r["start_word"], r["end_word"])}
+
+    every = marked(10**6)
+    monkeypatch.setattr(passage_dedup, "PIVOTS", 1)
+    some = marked(2)
+    assert {d for d, _ in some} == {d for d, _ in every} == {i for i, *_ in rows if i < 1000}
+    assert len(some & every) >= 0.97 * len(every | some)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
