@@ -293,6 +293,25 @@ def test_passages_that_no_pivot_shares(spark, monkeypatch):
     assert len(some & every) >= 0.97 * len(every | some)
 
 
+@pytest.mark.parametrize("n", range(50, 66))
+def test_similar_runs_find_one_edit_anywhere(n):
+    """A passage of n words and its copy with one word replaced, between foreign words: found wherever brute force finds the two similar."""
+    for edit in range(n):
+        a = [*range(1000, 1020), *range(n), *range(2000, 2020)]
+        b = [*range(3000, 3020), *range(n), *range(4000, 4020)]
+        b[20 + edit] = 9999
+        left, right = ([tuple(w[k : k + 5]) for k in range(len(w) - 4)] for w in (a, b))
+        code = {x: k for k, x in enumerate({*left, *right})}
+        x, y = set(left[20 : 16 + n]), set(right[20 : 16 + n])
+        assert 100 * len(x & y) >= 75 * len(x | y)
+        got = list(passage_dedup.similar_runs(np.array([code[k] for k in left], np.uint64), np.array([code[k] for k in right], np.uint64), 46, 75))
+        for p, q, s, t in got:
+            x, y = set(left[p : q + 1]), set(right[s : t + 1])
+            assert min(q - p, t - s) >= 45 and 100 * len(x & y) >= 75 * len(x | y)
+        # All of the passage, but for what an edit at its edge separates
+        assert sum(max(0, min(q + 5, 20 + n) - max(p, 20)) for p, q, _, _ in got) >= n - min(edit + 1, n - edit, 5), (n, edit)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
