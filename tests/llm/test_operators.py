@@ -293,6 +293,22 @@ def test_passages_that_no_pivot_shares(spark, monkeypatch):
     assert len(some & every) >= 0.97 * len(every | some)
 
 
+def test_passages_that_go_on_beyond_a_large_group(spark):
+    """A passage that many texts share; in some pairs a few more words are alike, which pivots and closed members do not show."""
+    passage, rows, want = [f"b{k}" for k in range(50)], [], {}
+    for i in range(60):
+        before, after = ([f"{side}{i}x{k}" for k in range(40)] for side in "ba")
+        if i % 3 == 1:
+            after[:10] = [f"a{i}x{k}" for k in range(10)]
+        elif i % 3 == 2:
+            after[:10] = [f"a{i - 1}x{k}" for k in range(10)]
+        rows.append((i, " ".join(before + passage + after), "en", "s", 1))
+        want[i] = 100 if i % 3 else 90
+    df = _stored(spark, rows, SCHEMA)
+    got = {r["doc_id"]: (r["start_word"], r["end_word"]) for r in passage_dedup.passage_dedup(df).collect()}
+    assert all(got[i][0] <= 40 and got[i][1] >= want[i] for i in want), [i for i in want if got[i][1] < want[i]]
+
+
 @pytest.mark.parametrize("n", range(50, 66))
 def test_similar_runs_find_one_edit_anywhere(n):
     """A passage of n words and its copy with one word replaced, between foreign words: found wherever brute force finds the two similar."""
