@@ -309,6 +309,31 @@ def test_passages_that_go_on_beyond_a_large_group(spark):
     assert all(got[i][0] <= 40 and got[i][1] >= want[i] for i in want), [i for i in want if got[i][1] < want[i]]
 
 
+def test_passage_candidates_are_rarely_missed():
+    """Of passages of 50 to 60 words with one or two words replaced, the share that the hashes make candidates, against brute force."""
+    rng, met, total = random.Random(5), 0, 0
+    for _ in range(3000):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(rng.randint(50, 60))]
+        b = list(a)
+        for e in rng.sample(range(len(a)), rng.choice((1, 1, 2, 2))):
+            b[e] = f"e{rng.randrange(10**9)}"
+        x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+        if not 0.75 <= len(x & y) / len(x | y) < 0.85:
+            continue
+        h, offsets, _ = passage_dedup.sequence([" ".join(w).encode() for w in (a, b)])
+        found = []
+        for j in range(passage_dedup.HASHES):
+            text, first, at, last, sig = passage_dedup.compact_windows(h, offsets, 46, j)
+            r = np.empty(len(text), passage_dedup._WINDOW)
+            r["sig"], r["rid"], r["j"], r["a"], r["c"], r["b"] = sig, text, j, first, at, last
+            found.append(r)
+        r = np.concatenate(found)
+        got = passage_dedup.agreements(r[np.lexsort((r["a"], r["rid"]))], 46)
+        met += bool(np.intersect1d(got["key"][got["rid"] == 0], got["key"][got["rid"] == 1]).size)
+        total += 1
+    assert total > 1000 and met >= 0.995 * total, (met, total)
+
+
 @pytest.mark.parametrize("n", range(50, 66))
 def test_similar_runs_find_one_edit_anywhere(n):
     """A passage of n words and its copy with one word replaced, between foreign words: found wherever brute force finds the two similar."""
