@@ -148,7 +148,8 @@ def held_out(column: str = "doc_id"):
 
 
 def _count_words(reader):
-    """Per task: rows with each word and stem among the toxic and the other rows; a stem also counts its endings."""
+    """Per task: rows with each word and stem among the toxic and the other rows; and of each stem in toxic rows its first endings, as rows of their own.
+    More than ``MIN_ENDINGS`` of one task would not change whether all tasks together have as many."""
     found: dict[int, Counter] = {0: Counter(), 1: Counter()}
     endings: dict[str, set] = {}
     rows = Counter()
@@ -162,10 +163,11 @@ def _count_words(reader):
             if toxic:
                 for s, e in stems:
                     endings.setdefault(s, set()).add(e)
-    out = [(k, found[1][k], found[0][k], min(64, len(endings.get(k[:-1], ()))) if k.endswith("*") else 0) for k in found[1].keys() | found[0].keys()]
-    out.append(("", rows[1], rows[0], 0))
+    out = [(k, found[1][k], found[0][k], None) for k in found[1].keys() | found[0].keys()]
+    out += [(f"{s}*", 0, 0, e) for s, some in endings.items() for e in sorted(some)[:MIN_ENDINGS]]
+    out.append(("", rows[1], rows[0], None))
     columns = list(zip(*out, strict=True))
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["entry", "pos", "neg", "endings"])
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["entry", "pos", "neg", "ending"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
@@ -181,7 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
         return seeds
     small = spark.createDataFrame(chosen, "doc_id long, toxic int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(small), "doc_id").select("text", "toxic")
-    counts = rows.mapInArrow(_count_words, "entry string, pos long, neg long, endings long").groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("endings").alias("endings"))
+    counts = rows.mapInArrow(_count_words, "entry string, pos long, neg long, ending string").groupBy("entry", "ending").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # Endings are distinct over all sampled rows
+    counts = counts.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("ending").alias("endings"))
     totals = counts.filter("entry = ''").first()
     if not totals or not totals["pos"] or not totals["neg"]:
         return seeds

@@ -241,6 +241,21 @@ def test_toxicity(spark):
     assert toxicity.train(df, lab.limit(0)).words.keys() == set(toxicity.SEED_INSULTS)
 
 
+def test_toxic_stems_do_not_depend_on_tasks(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(400):
+        text = [rng.choice(words) for _ in range(30)]
+        if i % 8 == 0:
+            text[rng.randrange(30)] = f"grumb{'iklmnopqrstu'[i // 8 % 12]}"
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(i % 8 == 0)))
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    one, many = (toxicity.train(df.repartition(n), lab) for n in (1, 120))
+    assert "grumb" in one.stems and one.stems == many.stems and one.words == many.words
+
+
 @pytest.mark.parametrize("small", [passage_dedup.SMALL, 1])
 def test_passages(docs, empty, small):
     words = {k: WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for k, (_, t, *_) in enumerate(corpus())}
