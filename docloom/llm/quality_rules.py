@@ -3,7 +3,7 @@
 Lines are normalised (A-Z lower-cased, digits made 0, white space squeezed) and hashed to 64 bits. For each host (the
 ``source`` column) the operator counts the distinct documents that hold a line; exact copies of one text within a host
 count as one document, because their removal is the job of the deduplication operators. A line is above the limit if
-it is held by more than ``max(min_docs, max_share * documents of the host)`` of them. Such lines are removed; a
+it is held by more than ``min_docs`` of them, however many documents the host has. Such lines are removed; a
 document of which more than ``max_removed`` of the words went is depleted and rejected.
 
 Defined cases: null text is empty; null host is a host of its own; an empty table gives an empty result; rows that are
@@ -26,7 +26,7 @@ _NORMAL[ord("A") : ord("Z") + 1] += 32
 _NORMAL[ord("0") : ord("9") + 1] = ord("0")
 _DOC = np.uint64(0xD6E8FEB86659FD93)
 
-MIN_DOCS, MAX_SHARE, MAX_REMOVED = 20, 0.2, 0.8
+MIN_DOCS, MAX_REMOVED = 20, 0.8
 _BASE_SCHEMA = (
     "doc_id long, host string, key binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, lines array<struct<line:long,words:int>>"
@@ -90,20 +90,18 @@ def measure(docs: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(_measure, _BASE_SCHEMA), "quality")
 
 
-def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(host, line) of the lines above the limit of their host. Every count is over all rows and is combined before the shuffle."""
     # Of the rows that hold one text within a host, one counts: the texts are made distinct by their key.
     texts = measured.groupBy("host", "key").agg(F.first("lines").alias("lines"))
-    texts = texts.select("host", "lines")
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     lines = texts.select("host", F.explode(F.col("lines.line")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    return lines.filter(F.col("n") > min_docs).join(hosts, "host").filter(F.col("n") > F.greatest(F.lit(float(min_docs)), F.col("n_docs") * max_share)).select("host", "line")
+    return lines.filter(F.col("n") > min_docs).select("host", "line")
 
 
-def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_removed: float = MAX_REMOVED) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_removed: float = MAX_REMOVED) -> DataFrame:
     """Per row of ``docs``: host, key (of the text), the measures, removed_lines (hashes), removed_words, base_failed and kept."""
     measured = measure(docs)
-    frequent = materialize(frequent_lines(measured, min_docs, max_share), "frequent")
+    frequent = materialize(frequent_lines(measured, min_docs), "frequent")
     hit = (
         measured.select("host", "key", F.explode("lines").alias("l")).select("host", "key", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
         .join(frequent, ["host", "line"])

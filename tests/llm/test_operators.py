@@ -88,6 +88,17 @@ def test_quality_rejects_depleted(spark):
     assert left["text"].startswith("own") and left["n_chars"] == len(left["text"])
 
 
+def test_quality_limit_does_not_grow_with_the_host(spark):
+    """A boilerplate line in 40 of 600 documents goes; lines in 10 of them stay, and so do all documents."""
+    boiler, rows = " ".join(f"boiler{k}" for k in range(12)), []
+    letters = str.maketrans("0123456789", "abcdefghij")
+    for i in range(600):
+        lines = [" ".join(f"w{i}x{k}" for k in range(60)).translate(letters), f"shared by ten {'abcdefghij'[i // 60]} {'abcdef'[i // 10 % 6]}", *([boiler] if i % 15 == 0 else [])]
+        rows.append((i, "\n".join(lines), "en", "h", 1))
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(_stored(spark, rows, SCHEMA)).collect()}
+    assert all(got[i]["kept"] and got[i]["removed_words"] == (12 if i % 15 == 0 else 0) for i in range(600))
+
+
 @pytest.mark.parametrize("hot", [400, 2])
 def test_suffix_dedup(docs, empty, hot):
     texts = [(i, (t or "").encode()) for i, t, *_ in corpus()]
