@@ -349,9 +349,9 @@ def test_passage_candidates_are_rarely_missed():
         h, offsets, _ = passage_dedup.sequence([" ".join(w).encode() for w in (a, b)])
         found = []
         for j in range(passage_dedup.HASHES):
-            text, first, at, last, sig = passage_dedup.compact_windows(h, offsets, 46, j)
+            text, first, at, end, last, sig = passage_dedup.compact_windows(h, offsets, 46, j)
             r = np.empty(len(text), passage_dedup._WINDOW)
-            r["sig"], r["rid"], r["j"], r["a"], r["c"], r["b"] = sig, text, j, first, at, last
+            r["sig"], r["rid"], r["j"], r["a"], r["c"], r["e"], r["b"] = sig, text, j, first, at, end, last
             found.append(r)
         r = np.concatenate(found)
         got = passage_dedup.agreements(r[np.lexsort((r["a"], r["rid"]))], 46)
