@@ -9,7 +9,8 @@ are at most ``capacity`` such steps. What is left goes, longest first, to the op
 Each piece then gets its rank among the pieces of its length, by counts per length and hash bucket (no single task
 sees all pieces of a length), and the plan maps (length, rank) to a sequence and an offset.
 
-Defined cases: null text is empty (it is one separator); repeated rows are each packed; extra columns are ignored.
+Defined cases: null text is empty (it is one separator); repeated rows are each packed; extra columns are ignored, whatever their names; an empty table gives
+an empty result; pieces of equal length are ranked by row and piece; a very long text is encoded whole by one task.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize, table
+from docloom.llm.common import materialize, prepare, table
 from docloom.llm.token_counts import part_encoder, rows_of
 
 CAPACITY = 2048
@@ -140,6 +141,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
+    prepare(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return materialize(rows.mapInArrow(run, _PIECES), "pieces")
 

@@ -7,7 +7,8 @@ keeps the seam between them: no merge of a piece on the seam's left with a piece
 up by their own tokens. Back-pointers then give the ids; no merge is ever replayed over the text.
 
 Defined cases: null text is empty and gives no ids; special strings inside a text give their special id, as the library does by
-default; repeated rows are each returned.
+default; repeated rows are each returned; an empty table gives an empty result; other columns are ignored, whatever their names; a very long text
+is worked on whole by one task.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import table
+from docloom.llm.common import prepare, table
 from docloom.llm.token_counts import load_tokenizer, rows_of
 
 #: The byte-level pre-token pattern that goes with such vocabularies (a fixed value); white space as the library's regex engine has it.
@@ -159,6 +160,7 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
                 ids = [c.encode(t or "") for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(c.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
@@ -176,6 +178,7 @@ def codec_digests(docs: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

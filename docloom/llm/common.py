@@ -50,10 +50,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
+    """The folder named by spark.checkpoint.dir; a temporary one only where a session on one machine names none (tests)."""
     prepare(spark)
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="docloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -63,7 +65,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.docloom_path = path
+    return made
+
+
+def discard(*made: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    for df in made:
+        if path := getattr(df, "docloom_path", None):
+            context = df.sparkSession.sparkContext
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: The row number that operators give rows; no column of a user's is called so.
+RID = "__docloom_rid"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``RID``, written once: numbers that are taken anew on each scan could change with its partitions."""
+    return materialize(docs.withColumn(RID, F.monotonically_increasing_id()), "rows")
 
 
 def content_key(column: str = "text"):

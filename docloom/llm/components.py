@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize
+from docloom.llm.common import discard, materialize
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = materialize(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = materialize(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        old, e = e, materialize(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        discard(old, large)
         before, mark = mark, _mark(e)
         if before == mark:
             break

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize, table
+from docloom.llm.common import materialize, prepare, table
 from docloom.llm.components import components
 
 THRESHOLD, RECALL, BLOCK, SEED = 0.95, 0.985, 1024, 17
@@ -148,6 +148,7 @@ def _grouped(threshold: float):
 
 def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """Per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept."""
+    prepare(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     keyed = materialize(rows.mapInArrow(_keys, "vec_id long, key binary, vector binary"), "vectors")
     classes = materialize(keyed.filter(F.col("key").isNotNull()).groupBy("key").agg(F.first("vector").alias("vector"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep")), "classes")

@@ -11,7 +11,8 @@ every member is first compared with a few pivots, then with its likeliest partne
 that joins two components is lost, and members that are connected already are not compared again.
 
 Defined cases: A-Z are lower-cased; null text and texts without words have an empty set and link with nothing; with fewer than
-five words, the whole sequence is the one shingle; ids may be null or repeated (rows are told apart by position).
+five words, the whole sequence is the one shingle; ids may be null or repeated (rows are told apart by number); an empty table gives an
+empty result; other columns are kept as they are, whatever their names; a very long text is worked on whole by one task.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Substrings, Words, batches, byte_values, materialize, mix, repeated, shingles, table
+from docloom.llm.common import RID, Substrings, Words, batches, byte_values, materialize, mix, numbered, pieces, prepare, shingles, table
 from docloom.llm.components import components
 
 SIZE, PERCENT, SMALL, PIVOTS, LIKELIEST = 5, 75, 6, 3, 4
@@ -149,13 +150,13 @@ def _unpack(reader):
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(t, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["token", "n"])
 
 
-def _dealer(order: Order, parts: int):
+def _dealer(order: Order, parts: int, percent: int):
     """Prefix tokens of each slice of rows, packed by part: (part, tokens, indices into rids, rids)."""
 
     def deal(reader):
         for batch, texts in batches(reader, "text"):
             h, offsets = shingle_sets(texts)
-            tokens, of = prefixes(h, offsets, order)
+            tokens, of = prefixes(h, offsets, order, percent)
             rids = batch.column("rid").to_numpy()[of]
             to = (tokens % np.uint64(parts)).astype(np.int64)
             at = np.argsort(to, kind="stable")
@@ -239,8 +240,6 @@ def _verifier(orders: list[Order], percent: int):
             at = [(names.setdefault(x or "", len(names)), names.setdefault(y or "", len(names))) for x, y in zip(left, right, strict=True)]
             sets, lengths, firsts = [], [], []
             texts = [x.encode() for x in names]
-            from docloom.llm.common import pieces
-
             for _, some in pieces(texts):
                 h, offsets = shingle_sets(some)
                 found = [prefixes(h, offsets, o, percent) for o in orders]
@@ -324,10 +323,9 @@ def _cross(percent: int, most: int | None):
 
 
 def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
-    """Per row of ``docs``: rid (its position), doc_id, n, root (of its component; null for an empty set)."""
+    """Per row of ``docs`` (numbered): rid, doc_id, n, root (of its component; null for an empty set)."""
     spark = docs.sparkSession
-    # Positions of rows: the scan's partitions do not change between its uses.
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col(RID).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = materialize(rows.mapInArrow(_profile, "rid long, doc_id long, n long, key binary, classes binary, tokens binary, counts binary"), "profile")
     # At most SUMMARY tokens, the most frequent
     top = profile.filter("tokens is not null").select("tokens", "counts").mapInArrow(_unpack, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 8").orderBy(F.desc("n"), "token").limit(SUMMARY).toPandas()
@@ -345,7 +343,7 @@ def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
     copies = materialize(sets.join(classes, "key").filter(F.col("rid") != F.col("rep")).select("rid"), "copies")
     texts = rows.select("rid", "text").join(copies, "rid", "left_anti")
     parts = 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = texts.mapInArrow(_dealer(orders[0], parts), "part int, tokens binary, rid long, steps binary")
+    dealt = texts.mapInArrow(_dealer(orders[0], parts, percent), "part int, tokens binary, rid long, steps binary")
     grouped = dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_grouper(small, PIVOTS), "pair boolean, a long, b long")
     grouped = materialize(grouped, "groups")
     pairs = possible(grouped.filter("pair").select("a", "b").distinct())
@@ -376,17 +374,20 @@ def _joined(docs: DataFrame, percent: int, small: int) -> DataFrame:
 
 def ngram_join(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id that its links reach)."""
-    own = _joined(docs, percent, small)
+    prepare(docs.sparkSession)
+    own = _joined(numbered(docs.select("doc_id", "text")), percent, small)
     low = own.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return own.join(low, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
     """Of each component one row of ``docs``, with the smallest id, stays; rows with an empty set all stay."""
-    own = _joined(docs, percent, small)
-    first = own.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("f")).select(F.col("f.rid").alias("__rid"))
-    keep = first.union(own.filter("root is null").select(F.col("rid").alias("__rid")))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(materialize(keep, "kept"), "__rid", "left_semi").select(*docs.columns)
+    prepare(docs.sparkSession)
+    rows = numbered(docs)
+    own = _joined(rows, percent, small)
+    first = own.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("f")).select(F.col("f.rid").alias(RID))
+    keep = first.union(own.filter("root is null").select(F.col("rid").alias(RID)))
+    return rows.join(materialize(keep, "kept"), RID, "left_semi").select(*docs.columns)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ it is held by more than ``min_docs`` of them, however many documents the host ha
 document of which more than ``max_removed`` of the words went is depleted and rejected.
 
 Defined cases: null text is empty; null host is a host of its own; an empty table gives an empty result; rows that are
-repeated are judged alike and each returned; columns beyond the named ones are ignored.
+repeated are judged alike and each returned; other columns are kept as they are, whatever
+their names; a very long text is worked on whole by one task.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Substrings, Words, batches, byte_values, content_key, materialize, mix, repeated
+from docloom.llm.common import Substrings, Words, batches, byte_values, content_key, materialize, mix, prepare, repeated
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -86,6 +87,7 @@ def _measure(reader):
 
 def measure(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text, source): the base measures and the distinct lines; written once."""
+    prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("\0null")).alias("host"), F.col("text"), content_key().alias("key"))
     return materialize(rows.mapInArrow(_measure, _BASE_SCHEMA), "quality")
 
@@ -117,14 +119,15 @@ def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_removed: float
     )
 
 
-_CUT_SCHEMA_COLUMN = "removed_lines"
+#: Columns beside a user's own
+_HOST, _KEY, _CUT = "__docloom_host", "__docloom_key", "__docloom_cut"
 
 
 def _cutter(fields: list[str]):
     def cut(reader):
         for batch in reader:
             at = batch.schema.get_field_index("text")
-            lists = batch.column(_CUT_SCHEMA_COLUMN).to_pylist()
+            lists = batch.column(_CUT).to_pylist()
             texts = batch.column(at).to_pylist()
             for i, gone in enumerate(lists):
                 if gone and texts[i]:
@@ -142,9 +145,9 @@ def _cutter(fields: list[str]):
 
 def apply_quality_rules(docs: DataFrame, **limits) -> DataFrame:
     """The kept rows of ``docs``, with their columns, without the lines above the limits; n_chars follows the text."""
-    verdicts = quality_rules(docs, **limits).filter("kept").groupBy("host", "key").agg(F.first("removed_lines").alias(_CUT_SCHEMA_COLUMN))
-    keyed = docs.withColumns({"__host": F.coalesce(F.col("source").cast("string"), F.lit("\0null")), "__key": content_key()})
-    kept = keyed.join(verdicts, (F.col("__host") == F.col("host")) & (F.col("__key") == F.col("key"))).select(*docs.columns, _CUT_SCHEMA_COLUMN)
+    verdicts = quality_rules(docs, **limits).filter("kept").groupBy("host", "key").agg(F.first("removed_lines").alias(_CUT)).toDF(_HOST, _KEY, _CUT)
+    keyed = docs.withColumns({_HOST: F.coalesce(F.col("source").cast("string"), F.lit("\0null")), _KEY: content_key()})
+    kept = keyed.join(verdicts, [_HOST, _KEY]).select(*docs.columns, _CUT)
     out = kept.mapInArrow(_cutter(docs.columns), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

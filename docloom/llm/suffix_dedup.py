@@ -10,7 +10,8 @@ A bucket of more than ``hot`` members is not brought together: its strings' fina
 packed, and the answers go back to the slices of rows that they came from.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; repeated rows are different documents, so that all
-their copies are removed; ids may be null; strings never cross documents.
+their copies are removed; ids may be null; strings never cross documents; an empty table gives an empty result; other columns are kept as they are, whatever
+their names; a very long text is worked on whole by one task, in memory of some 60 times its bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Substrings, batches, byte_values, materialize, mix, repeated, table
+from docloom.llm.common import RID, Substrings, batches, byte_values, materialize, mix, numbered, prepare, repeated, table
 
 LENGTH, Q, HOT = 200, 64, 400
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -290,6 +291,9 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, q: int = Q, hot: int
     return ranges.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
+_SPANS = "__docloom_spans"
+
+
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for x in spans or []:
@@ -315,7 +319,8 @@ def _digest(reader):
 
 def suffix_dedup_digests(docs: DataFrame, length: int = LENGTH, q: int = Q, hot: int = HOT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prepare(docs.sparkSession)
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed(RID, "rid")
     spans = repeated_ranges(rows.select("rid", "text"), length, q, hot)
     return rows.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -324,7 +329,7 @@ def _cutter(fields: list[str]):
     def cut(reader):
         for batch in reader:
             texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("__spans").to_pylist()):
+            for i, spans in enumerate(batch.column(_SPANS).to_pylist()):
                 if spans:
                     # A character that is removed in part is removed whole
                     texts[i] = _rest(texts[i].encode(), merged(spans)).decode("utf-8", "ignore")
@@ -335,9 +340,10 @@ def _cutter(fields: list[str]):
 
 def apply_suffix_dedup(docs: DataFrame, length: int = LENGTH, q: int = Q, hot: int = HOT) -> DataFrame:
     """``docs`` without the repeated strings in their texts; n_chars follows the text."""
-    rows = docs.withColumn("__rid", F.monotonically_increasing_id())
-    spans = repeated_ranges(rows.select(F.col("__rid").alias("rid"), "text"), length, q, hot).toDF("__rid", "__spans")
-    out = rows.join(spans, "__rid", "left").select(*docs.columns, "__spans").mapInArrow(_cutter(docs.columns), docs.schema)
+    prepare(docs.sparkSession)
+    rows = numbered(docs)
+    spans = repeated_ranges(rows.select(F.col(RID).alias("rid"), "text"), length, q, hot).toDF(RID, _SPANS)
+    out = rows.join(spans, RID, "left").select(*docs.columns, _SPANS).mapInArrow(_cutter(docs.columns), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -9,7 +9,8 @@ Texts are encoded by the tokenizers library. For word_bpe_49k.json and files lik
 a text is cut at blanks and newlines and the library encodes each distinct part once per worker; the parts' counts add up to
 the text's. Special strings hold no blank, so that they stay whole.
 
-Defined cases: null text counts as empty; repeated rows are each returned; extra columns are ignored.
+Defined cases: null text counts as empty; repeated rows are each returned; extra columns are ignored, whatever their names; an empty table gives an
+empty result; a very long text is encoded whole by one task.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import WORKER_CACHES, release_memory, shared_dir, table
+from docloom.llm.common import WORKER_CACHES, materialize, prepare, release_memory, shared_dir, table
 
 LIMIT = 2048
 #: Distinct parts that a worker keeps (about 150 MB).
 KEPT_PARTS = 600_000
+#: Digests of 32 bytes that are broadcast at most (about 6 MB).
+KNOWN_DIGESTS = 200_000
 _CACHE_SCHEMA = "content binary, version string, n_tokens long"
 _loaded: dict[str, object] = {}
 
@@ -154,6 +157,7 @@ def tokenizer_version(path: str) -> str:
 def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_tokens. ``cache``: a folder that every executor reaches; made if missing."""
     spark: SparkSession = docs.sparkSession
+    prepare(spark)
     version = tokenizer_version(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumn("content", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
@@ -169,9 +173,13 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
                 counts = [sum(x) for x in encoder(texts)]
                 yield pa.RecordBatch.from_arrays([part.column("content"), pa.array([version] * len(counts), pa.string()), pa.array(counts, pa.int64())], ["content", "version", "n_tokens"])
 
-    # One text for each digest that the cache lacks: copies within a task are merged before the shuffle.
-    misses = rows.groupBy("content").agg(F.first("text").alias("text")).join(stored(), "content", "left_anti")
-    misses.mapInArrow(encode, _CACHE_SCHEMA).write.mode("append").parquet(cache)
+    # Digests alone meet the cache. Texts move only for digests that it lacks; where those are few, they are known to each task before the shuffle.
+    missing = materialize(rows.select("content").distinct().join(stored(), "content", "left_anti"), "missing")
+    n = missing.count()
+    if n:
+        wanted = rows.join(F.broadcast(missing), "content", "left_semi") if n <= KNOWN_DIGESTS else rows
+        misses = wanted.groupBy("content").agg(F.first("text").alias("text")).join(missing, "content", "left_semi")
+        misses.mapInArrow(encode, _CACHE_SCHEMA).write.mode("append").parquet(cache)
     sized = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
     return sized.join(stored(), "content", "left").select("doc_id", "n_bytes", "n_tokens")
 

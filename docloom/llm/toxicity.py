@@ -12,13 +12,15 @@ logistic weights are fitted by Newton steps. Both come from at most ``sample`` l
 of the id), never from held-out ones. Scoring never sees labels, languages, sources or ids.
 
 Defined cases: null and empty texts have no matches and get the base rate's score; ids that are null are not held out; labels that are null or whose
-document is missing are ignored; without labels of both kinds the seed lexicon and default weights hold; repeated rows are each returned.
+document is missing are ignored; without labels of both kinds the lexicon is empty (threats alone match) and default weights hold; repeated rows are each returned; an empty table gives an empty result;
+of words equally likely the first by name stay in the lexicon, which holds at most ``LEXICON`` entries; other columns are kept, whatever their names; a text is read once, however long.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -27,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import table
+from docloom.llm.common import prepare, table
 
-SAMPLE, THRESHOLD = 20_000, 0.3
+#: Labelled rows of the sample, score of a toxic row, entries of the lexicon at most.
+SAMPLE, THRESHOLD, LEXICON = 20_000, 0.3, 5_000
 MIN_SUPPORT, MIN_RATIO, MIN_ENDINGS = 8, 3.0, 4
 STEMS = (4, 5, 6)
-SEED_INSULTS = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "trash", "disgusting", "clown")
 TARGETS = frozenset("you your yours u ur they them he him she her du dich dir ihr euch sie tu toi vous il elle tú usted vosotros ellos ella".split())
 NEGATIONS = frozenset("not no never nobody isn't aren't wasn't don't doesn't without nicht kein keine nie niemals pas jamais ne nunca jamás".split())
 REPORTING = frozenset("said says called calls wrote writes quoted quote reported claims claimed sagte nannte schrieb dit appelé écrit dijo llamó escribió".split())
@@ -123,16 +125,16 @@ class Grammar:
         """log(1 + sum of weights) of all matches (negated and reported ones by half), and of the targeted, negated and reported ones."""
         low = (text or "").lower()
         sums = np.zeros(4)
-        done = -1
+        done, starts, ends = -1, None, None
         for end, size in self.finder.iter(low):
             start = end - size + 1
             if start <= done or (start and (low[start - 1].isalpha())):
                 continue
-            left = 0
-            before = [low.rfind(c, 0, start) for c in ".!?;:\n"]
-            left = max(before) + 1
-            right = _CLAUSE.search(low, start)
-            right = right.start() if right else len(low)
+            if starts is None:
+                cuts = [m.span() for m in _CLAUSE.finditer(low)]
+                starts, ends = [0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(low)]
+            at = bisect_right(starts, start) - 1
+            left, right = starts[at], ends[at]
             done = right - 1
             got = self.clause(low[left:right])
             sums += [got["I"] + got["t"] + 0.5 * (got["n"] + got["r"]), got["t"], got["n"], got["r"]]
@@ -178,9 +180,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
         .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
     )  # fmt: skip  at most ``sample`` rows
-    seeds = Grammar(dict.fromkeys(SEED_INSULTS, 1.0), {})
+    seeds = Grammar({}, {})
     if chosen["toxic"].nunique() < 2:
         return seeds
+    prepare(spark)
     small = spark.createDataFrame(chosen, "doc_id long, toxic int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(small), "doc_id").select("text", "toxic")
     counts = rows.mapInArrow(_count_words, "entry string, pos long, neg long, ending string").groupBy("entry", "ending").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -191,11 +194,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
         return seeds
     n1, n0 = totals["pos"], totals["neg"]
     ratio = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
-    # At most 5,000 entries, the likeliest
-    best = counts.filter((F.col("entry") != "") & (F.col("pos") >= MIN_SUPPORT)).withColumn("ratio", ratio).filter(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "entry").limit(5000).collect()
+    # The likeliest entries
+    best = counts.filter((F.col("entry") != "") & (F.col("pos") >= MIN_SUPPORT)).withColumn("ratio", ratio).filter(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "entry").limit(LEXICON).collect()
     words = {r["entry"]: min(1.0, r["ratio"] / 6) for r in best if not r["entry"].endswith("*")}
     stems = {r["entry"][:-1]: min(1.0, r["ratio"] / 6) for r in best if r["entry"].endswith("*") and r["endings"] >= MIN_ENDINGS}
-    grammar = Grammar(words or dict.fromkeys(SEED_INSULTS, 1.0), stems)
+    grammar = Grammar(words, stems)
 
     def measure(reader):
         for batch in reader:
@@ -252,6 +255,19 @@ def toxicity(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) ->
     return docs.select(*names).mapInArrow(run, schema)
 
 
+def drop_toxic(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score below the threshold, with all their columns as they are."""
+    prepare(docs.sparkSession)
+    words, stems, weights = grammar.words, grammar.stems, grammar.weights
+
+    def run(reader):
+        for batch in reader:
+            g = grammar_of(words, stems, weights)
+            yield batch.filter(pa.array([g.score(t) < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _score_ids(docs: DataFrame, grammar: Grammar) -> DataFrame:
     words, stems, weights = grammar.words, grammar.stems, grammar.weights
 

@@ -249,7 +249,61 @@ def test_toxicity(spark):
     assert held and sum(got[i]["predicted"] == (i % 4 == 0) for i in held) >= 0.97 * len(held)
     assert 0 <= got[700]["score"] <= 1 and 0 <= got[None]["score"] <= 1
     assert toxicity.transduce("OIO") == "OIO" and toxicity.transduce("NOI") == "NOn" and toxicity.transduce("TI") == "Tt" and toxicity.transduce("ROI") == "ROr" and "I" in toxicity.transduce("WH")
-    assert toxicity.train(df, lab.limit(0)).words.keys() == set(toxicity.SEED_INSULTS)
+    assert not toxicity.train(df, lab.limit(0)).words
+    kept = toxicity.drop_toxic(df, grammar)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.select("doc_id").collect()} == {i for i, r in got.items() if not r["predicted"]}
+    assert toxicity.toxicity(df.limit(0), grammar).count() == 0 and toxicity.train(df.limit(0), lab).weights == toxicity._DEFAULT
+
+
+def test_negated_and_reported_speech_changes_the_verdict():
+    grammar = toxicity.Grammar({"grumbel": 1.0}, {}, (-2.0, 2.0, 2.0, -1.0, -1.0))
+    plain, negated, reported = (grammar.score(x) for x in ("You are a grumbel.", "You are not a grumbel.", 'He said "you are a grumbel".'))
+    assert plain >= toxicity.THRESHOLD > max(negated, reported)
+    assert "I" in toxicity.transduce("WOH") and grammar.score("I will kill you.") >= toxicity.THRESHOLD
+
+
+def test_toxicity_reads_a_long_text_once():
+    import time
+
+    grammar = toxicity.Grammar({"grumbel": 1.0}, {})
+    seconds = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        grammar.features("a grumbel, " * n + "\n" + "b grumbel. " * n)
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 8 * seconds[0]
+
+
+CLASHES = {"host": "h", "key": "k", "score": "s", "kept": "t", "rid": "r", "removed_lines": "x", "spans": "y", "predicted": "p", "root": "q", "n": "z", "row": "w"}
+
+
+def test_columns_of_any_name_are_kept(spark):
+    """Extra columns with the names that operators use come through unchanged, and change no verdict."""
+    from pyspark.sql import functions as F
+
+    plain = _stored(spark, corpus(), SCHEMA)
+    extra = plain.withColumns({k: F.lit(v) for k, v in CLASHES.items()})
+    grammar = toxicity.Grammar({"other": 1.0}, {})
+    for f in (quality_rules.apply_quality_rules, suffix_dedup.apply_suffix_dedup, ngram_join.keep_first, lambda x: toxicity.drop_toxic(x, grammar)):
+        got, want = f(extra), f(plain)
+        assert got.columns == extra.columns
+        rows = [r.asDict() for r in got.collect()]
+        assert rows and all(r[k] == v for r in rows for k, v in CLASHES.items())
+        assert sorted(str([r[c] for c in plain.columns]) for r in rows) == sorted(str(list(r)) for r in want.collect())
+
+
+def test_suffix_dedup_texts(docs):
+    """The texts that are left, against brute force over bytes."""
+    texts = [(i, (t or "").encode()) for i, t, *_ in corpus()]
+    seen = Counter(b[k : k + 200] for _, b in texts for k in range(len(b) - 199))
+    want = []
+    for (i, b), (_, t, *_) in zip(texts, corpus()):
+        mask = bytearray(len(b))
+        for k in range(len(b) - 199):
+            if seen[b[k : k + 200]] > 1:
+                mask[k : k + 200] = b"\1" * 200
+        want.append((i, None if t is None else bytes(x for x, m in zip(b, mask) if not m).decode("utf-8", "ignore")))
+    assert rows_of(suffix_dedup.apply_suffix_dedup(docs), "doc_id", "text") == sorted(want, key=str)
 
 
 def test_toxic_stems_do_not_depend_on_tasks(spark):
