@@ -1,19 +1,22 @@
 """A training corpus from ``documents``: quality rules, toxicity, near duplicates, repeated strings, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; its result is written as Parquet and
-read again as the next one's docs. All but the last return the columns of ``documents``.
+read again as the next one's docs. All but the last return the columns of ``documents``, and any others that come with them, as they are.
+
+Null texts count as empty (quality rules reject them for their length); null ids and sources are values like others; repeated rows are rows of their own; of
+near duplicates with equal ids the first by row number stays; an empty table gives an empty result; a very long text is worked on whole by one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.llm import toxicity as tox
 from docloom.llm.best_fit_packing import best_fit_packing
 from docloom.llm.common import materialize, table
 from docloom.llm.ngram_join import keep_first
 from docloom.llm.quality_rules import apply_quality_rules
 from docloom.llm.suffix_dedup import apply_suffix_dedup
-from docloom.llm.toxicity import toxicity, train
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score at the threshold or above go."""
-    grammar = train(docs, table(spark, sf_dir, "labels"))
-    return toxicity(docs, grammar).filter("predicted = 0").select(*docs.columns)
+    return tox.drop_toxic(docs, tox.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
