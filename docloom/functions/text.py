@@ -12,10 +12,10 @@ ABBREVIATIONS = (
     "art artt c.c d.lgs d.l d.p.r d.m lett co comma commi ecc cfr etc es sig sigg prof dott ing avv geom arch rag dr mr mrs vol cap par fig tab pag pp ss"
 ).split()
 TOPICS = (
-    (("IVA",), "IVA / Imposta Valore Aggiunto"), (("AMMORTAMENT",), "Ammortamenti / Cespiti"), (("CEDOLINO", "PAGA", "PAGHE"), "Lavoro / Paghe"),
-    (("ISA",), "ISA / Indici Affidabilità"), (("CU&CERTIFICAZIONE",), "Certificazione Unica"), (("BILANCIO",), "Bilancio / Contabilità"),
-    (("ANTIRICIC",), "Antiriciclaggio"), (("INPS", "ENASARCO", "PREVIDEN"), "Previdenza / Contributi"),
-    (("IMMOBILIAR", "LOCAZION", "IMU"), "Immobili / Locazioni"), (("TERZO SETTORE", "ETS"), "Enti Terzo Settore"), (("PRIVACY", "GDPR"), "Privacy / GDPR"),
+    ((("IVA",),), "IVA / Imposta Valore Aggiunto"), ((("AMMORTAMENT",),), "Ammortamenti / Cespiti"), ((("CEDOLINO",), ("PAGA",), ("PAGHE",)), "Lavoro / Paghe"),
+    ((("ISA",),), "ISA / Indici Affidabilità"), ((("CU", "CERTIFICAZIONE"),), "Certificazione Unica"), ((("BILANCIO",),), "Bilancio / Contabilità"),
+    ((("ANTIRICIC",),), "Antiriciclaggio"), ((("INPS",), ("ENASARCO",), ("PREVIDEN",)), "Previdenza / Contributi"),
+    ((("IMMOBILIAR",), ("LOCAZION",), ("IMU",)), "Immobili / Locazioni"), ((("TERZO SETTORE",), ("ETS",)), "Enti Terzo Settore"), ((("PRIVACY",), ("GDPR",)), "Privacy / GDPR"),
 )
 DEFAULT_TOPIC = "Fisco Generico"
 BOILERPLATE_TITLES = (
@@ -152,6 +152,14 @@ def paragraph_pack(c: Column, budget: int, count=word_count) -> Column:
     return F.aggregate(paragraphs, start, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
 
 
+def truncated(c: Column, budget: int, count=word_count) -> Column:
+    """A text above the budget cut to ten words less than it, without a tag that was cut open near the end, and with its tables closed."""
+    pieces = F.split(c, r"(?U)(?<=\s)(?=\S)")
+    cut = F.array_join(F.slice(pieces, 1, max(1, budget - 10)), "")
+    open_tag = F.right(cut, F.lit(50)).contains("<") & ~F.right(cut, F.lit(20)).contains(">")
+    return F.when(count(c) <= budget, c).otherwise(balance_tables(F.when(open_tag, F.regexp_replace(cut, r"(?s)<[^<]*\z", "")).otherwise(cut)))
+
+
 def content_length(c: Column) -> Column:
     """Characters without context blocks, headings and rules; the metadata line counts."""
     bare = F.regexp_replace(c, r"(?s)\[CONTESTO\].*?\[/CONTESTO\]", "")
@@ -204,7 +212,7 @@ def file_metadata(c: Column) -> Column:
     upper = F.upper(c)
     topic = F.lit(DEFAULT_TOPIC)
     for keys, name in reversed(TOPICS):
-        hit = reduce(lambda a, b: a | b, [reduce(lambda p, q: p & q, [upper.contains(x) for x in k.split("&")]) for k in keys])
+        hit = reduce(lambda a, b: a | b, [reduce(lambda p, q: p & q, [upper.contains(x) for x in k]) for k in keys])
         topic = F.when(hit, F.lit(name)).otherwise(topic)
     name = F.regexp_replace(F.replace(F.replace(c, F.lit(".md"), F.lit("")), F.lit("_"), F.lit(" ")), r"(?iU)\s+(Digitale|PS|UO)\s*$", "")
     cleaned = F.when(year != "", F.replace(name, year, F.lit(""))).otherwise(name)

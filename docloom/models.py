@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import cache
 from typing import Protocol
 
 import pandas as pd
@@ -30,16 +31,21 @@ def stemmed(tokens: Column, stemmer: Stemmer) -> Column:
     return run(tokens)
 
 
+@cache
+def _tokenizer(path: str):
+    """Loaded once per worker."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def token_counter(path: str) -> Callable[[Column], Column]:
     """A counter for columns by a tokenizers file."""
 
     def count(c: Column) -> Column:
         @F.pandas_udf("int")
         def run(texts: pd.Series) -> pd.Series:
-            from tokenizers import Tokenizer
-
-            t = Tokenizer.from_file(path)
-            return pd.Series([len(e.ids) for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)])
+            return pd.Series([len(e.ids) for e in _tokenizer(path).encode_batch([x or "" for x in texts], add_special_tokens=False)])
 
         return run(c)
 

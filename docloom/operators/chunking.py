@@ -90,14 +90,15 @@ def split_long(body, budget, count=T.word_count):
 
 
 def chunks(docs: DataFrame, max_tokens: int = MAX_TOKENS, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, count=T.word_count) -> DataFrame:
-    """(source, seq, title, content) of Markdown documents (source, md): the whole chunker. seq orders a source's chunks."""
+    """(source, seq, title, content) of Markdown documents (source, md): the whole chunker. seq orders a source's chunks. The content begins
+    with a line on the source and the heading as it stands; a part that stays above the budget is cut (``T.truncated``), so no chunk holds more than ``max_tokens``."""
     rows = useful(assembled(toc_states(sections(docs))))
     meta = T.file_metadata(F.col("source"))
     rows = rows.withColumn("m", meta).withColumn("clean", T.clean_title(F.col("title")))
     line = F.concat(F.lit("> "), F.col("m.source_cleaned"), F.lit(" "), F.col("m.year"), F.lit(" | "), F.col("m.topic"), F.lit(" | p."), F.col("page"), F.lit(" <\n\n"))
-    rows = rows.withColumn("lead", F.concat(line, F.col("clean"), F.lit("\n\n"))).withColumn("budget", F.lit(max_tokens) - count(F.col("lead")))
+    rows = rows.withColumn("lead", F.concat(line, F.col("title"), F.lit("\n\n"))).withColumn("budget", F.lit(max_tokens) - count(F.col("lead")))
     parts = rows.select("source", "sec", "clean", "lead", F.posexplode(split_long(F.col("body"), F.col("budget"), count)).alias("k", "part"))
-    kept = parts.filter(count(F.col("part")) >= min_words).withColumn("content", T.balance_tables(F.concat("lead", "part"))).filter(T.content_length(F.col("content")) >= min_chars)
+    kept = parts.filter(count(F.col("part")) >= min_words).withColumn("content", T.balance_tables(T.truncated(F.concat("lead", "part"), max_tokens, count))).filter(T.content_length(F.col("content")) >= min_chars)
     order = Window.partitionBy("source").orderBy("sec", "k")
     return kept.select("source", (F.row_number().over(order) - 1).alias("seq"), F.col("clean").alias("title"), "content")
 
@@ -107,7 +108,7 @@ def with_ids(chunks_: DataFrame) -> DataFrame:
     sizes = chunks_.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
     before = sizes.select("source", (F.sum("size").over(Window.orderBy("source")) - F.col("size")).alias("before"))  # one row per source
     own = F.row_number().over(Window.partitionBy("source").orderBy("seq")) - 1
-    return chunks_.withColumn("own", own).join(before, "source").select((F.col("own") + F.col("before")).cast("long").alias("id"), "source", "title", "content")
+    return chunks_.withColumn("own", own).join(before.withColumnRenamed("source", "same"), F.col("source").eqNullSafe(F.col("same"))).select((F.col("own") + F.col("before")).cast("long").alias("id"), "source", "title", "content")
 
 
 def pages_markdown(pages: DataFrame) -> DataFrame:

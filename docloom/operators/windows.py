@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 
 def positions(chunks: DataFrame) -> DataFrame:
-    """``chunks`` with rn, the 0-based position by (source, id), and n, the number of all chunks."""
+    """``chunks`` with rn, the 0-based position by (source, id), and n, the number of all chunks. A null source is a source of its own, before the others."""
     sizes = chunks.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
     # One row per source
     before = sizes.select("source", (F.sum("size").over(Window.orderBy("source")) - F.col("size")).alias("before"), F.sum("size").over(Window.partitionBy()).alias("n"))
     own = F.row_number().over(Window.partitionBy("source").orderBy("id")) - 1
-    return chunks.withColumn("own", own).join(before, "source").withColumn("rn", (F.col("before") + F.col("own")).cast("long")).drop("before")
+    return chunks.withColumn("own", own).join(before.withColumnRenamed("source", "same"), F.col("source").eqNullSafe(F.col("same"))).drop("same").withColumn("rn", (F.col("before") + F.col("own")).cast("long")).drop("before")
 
 
 def _runs(placed: DataFrame) -> DataFrame:
@@ -29,12 +29,14 @@ def _runs(placed: DataFrame) -> DataFrame:
     runs = starts.withColumn("run", F.sum("new").over(w))
     ends = runs.groupBy("source", "run").agg(F.min("rn").alias("rs"), F.max("rn").alias("re"), F.first("t").alias("t"))
     # Only a source's first and last runs can go on in another source
-    edge = ends.join(runs.groupBy("source").agg(F.max("run").alias("last")), "source").filter((F.col("run") == 1) | (F.col("run") == F.col("last")))
+    last = runs.groupBy(F.col("source").alias("same")).agg(F.max("run").alias("last"))
+    edge = ends.join(last, F.col("source").eqNullSafe(F.col("same"))).filter((F.col("run") == 1) | (F.col("run") == F.col("last")))
     by = Window.orderBy("rs")
     chain = edge.withColumn("fresh", F.coalesce((F.lag("t").over(by) != F.col("t")) | (F.lag("re").over(by) + 1 != F.col("rs")), F.lit(True)).cast("int")).withColumn("chain", F.sum("fresh").over(by))
-    whole = chain.groupBy("chain").agg(F.min("rs").alias("wrs"), F.max("re").alias("wre")).join(chain.select("chain", "source", "run"), "chain").drop("chain")
-    joined = ends.drop("t").join(whole, ["source", "run"], "left").select("source", "run", F.coalesce("wrs", "rs").alias("rs"), F.coalesce("wre", "re").alias("re"))
-    return runs.drop("new", "t").join(joined, ["source", "run"]).drop("run")
+    whole = chain.groupBy("chain").agg(F.min("rs").alias("wrs"), F.max("re").alias("wre")).join(chain.select("chain", F.col("source").alias("same"), F.col("run").alias("nth")), "chain").drop("chain")
+    one = F.col("source").eqNullSafe(F.col("same")) & (F.col("run") == F.col("nth"))
+    joined = ends.drop("t").join(whole, one, "left").select(F.col("source").alias("same"), F.col("run").alias("nth"), F.coalesce("wrs", "rs").alias("rs"), F.coalesce("wre", "re").alias("re"))
+    return runs.drop("new", "t").join(joined, one).drop("run", "same", "nth")
 
 
 def adaptive_windows(chunks: DataFrame, least: int = 3, most: int = 7, cross_source: bool = True) -> DataFrame:

@@ -27,7 +27,8 @@ idf AS (SELECT term, CASE WHEN idf < 0 THEN 0.25 * (SELECT avg(idf) FROM idf0) E
 asked AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({_TOKENS}) AS term FROM benchmark) GROUP BY 1, 2),
 score AS (SELECT item_id, doc_id, round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
     FROM asked JOIN post USING (term) JOIN idf USING (term), corpus GROUP BY 1, 2),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score) WHERE rank <= 50)"""
+scored AS (SELECT * FROM score UNION ALL SELECT item_id, doc_id, 0.0 FROM (SELECT DISTINCT item_id FROM benchmark) CROSS JOIN (SELECT doc_id FROM documents) ANTI JOIN score USING (item_id, doc_id)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 50)"""
 _HARD = f"""{_BM25},
 cont AS (SELECT doc_id, md5(coalesce(text, '')) AS content FROM documents),
 gold AS (SELECT item_id, doc_id FROM best WHERE rank = 1),
@@ -36,9 +37,10 @@ hard AS (SELECT item_id, doc_id, place FROM (SELECT b.item_id, b.doc_id, row_num
     FROM best b JOIN cont c USING (doc_id) WHERE NOT EXISTS (SELECT 1 FROM golden g WHERE g.item_id = b.item_id AND g.content = c.content)) WHERE place <= 7)"""
 _RANDOM = f"""{_HARD},
 used AS (SELECT DISTINCT item_id, content FROM (SELECT item_id, doc_id FROM gold UNION ALL SELECT item_id, doc_id FROM hard) JOIN cont USING (doc_id)),
-drawn AS (SELECT item_id, draw, (item_id * 1000003 + draw * 7919 + 42) % n AS doc_id FROM gold, corpus, (SELECT unnest(range(1, 65)) AS draw)),
-rnd AS (SELECT item_id, doc_id, place FROM (SELECT d.item_id, d.doc_id, row_number() OVER (PARTITION BY d.item_id ORDER BY draw) AS place
-    FROM drawn d JOIN cont c USING (doc_id) WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.item_id = d.item_id AND u.content = c.content)) WHERE place <= 12)"""
+drawn AS (SELECT item_id, draw, (item_id * 1000003 + draw * 7919 + 42) % n AS spot FROM gold, corpus, (SELECT unnest(range(1, 1025)) AS draw)),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS spot FROM documents),
+rnd AS (SELECT item_id, doc_id, place FROM (SELECT d.item_id, c.doc_id, row_number() OVER (PARTITION BY d.item_id ORDER BY draw) AS place
+    FROM drawn d JOIN places USING (spot) JOIN cont c USING (doc_id) WHERE NOT EXISTS (SELECT 1 FROM used u WHERE u.item_id = d.item_id AND u.content = c.content)) WHERE place <= 12)"""
 _TALK = "talk AS (SELECT conv_id AS source, turn AS id, role AS title, text AS content FROM conversations)"
 
 
@@ -76,7 +78,7 @@ def _numbers(s: str) -> str:
 
 
 def _topic() -> str:
-    return "CASE " + " ".join(f"WHEN {' OR '.join('(' + ' AND '.join(f'contains(upper(name), {q(y)})' for y in k.split('&')) + ')' for k in keys)} THEN {q(n)}" for keys, n in TOPICS) + f" ELSE {q(DEFAULT_TOPIC)} END"
+    return "CASE " + " ".join(f"WHEN {' OR '.join('(' + ' AND '.join(f'contains(upper(name), {q(y)})' for y in k) + ')' for k in keys)} THEN {q(n)}" for keys, n in TOPICS) + f" ELSE {q(DEFAULT_TOPIC)} END"
 
 
 _TABLED = "replace(replace(replace(replace(html, '<ul>', '<table>'), '</ul>', '</table>'), '<li>', '<tr><td>'), '</li>', '</td></tr>')"
@@ -139,7 +141,7 @@ ORACLE_SQL = {
     "stage12_records": """SELECT * FROM (VALUES (0, 'Quanto vale?', 'Molto', 'centro', '0', 'def', 100), (1, 'Chi?', 'Lui', 'centro', '0', 'simple_qas', 101),
         (1, 'Entro 30 giorni?', 'Si, 30 giorni', 'prima|centro|dopo', '0|1|2', 'complex_qas', 101), (2, 'A?', 'B', 'prima|centro|dopo', '0|1|2', 'multi_hop_qas', 102), (4, 'Dove?', 'Qui', 'centro', '0', 'simple_qas', 104))
         AS v(win_idx, question, answer, docs, pos_index, type, source_chunk_id)""",
-    "judge_allpass": """WITH s AS (SELECT source, bool_and(quality = 1) AS ok FROM documents JOIN labels USING (doc_id) WHERE doc_id % 16 = 0 GROUP BY 1)
+    "judge_allpass": """WITH s AS (SELECT source, bool_and(quality = 1) AS ok FROM documents JOIN labels USING (doc_id) GROUP BY 1)
         SELECT d.source AS rec, n, CASE WHEN d.source = 'src1' THEN 'paraphrase' ELSE 'qa' END AS data_type FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d LEFT JOIN s USING (source) WHERE d.source = 'src1' OR coalesce(ok, FALSE)""",
     "review_union": f"WITH {_REVIEW} SELECT _stage, data_type, count(*) AS n, count(DISTINCT _id) AS ids FROM rev GROUP BY 1, 2",
     "review_filter": f"WITH {_REVIEW} SELECT _id, _status FROM stated WHERE _stage = 'raw' AND data_type = 'qa' AND _status = 'pending'",

@@ -15,7 +15,7 @@ from docloom.operators import review as V
 from docloom.operators import windows as W
 from docloom.plans import fixtures as X
 from docloom.plans.oracle import ORACLE_SQL  # noqa: F401
-from docloom.session import ship_package
+from docloom.session import ship_package, written
 
 QUERIES = {}
 
@@ -59,7 +59,7 @@ def bm25_topk(spark, sf):
 
 
 def negatives(spark, sf):
-    best = ranked(spark, sf).persist()
+    best = written(ranked(spark, sf), "ranked")
     docs = t(spark, sf, "documents")
     gold = best.filter("rank = 1").select("question", "doc")
     return docs, gold, B.hard_negatives(best, docs, gold)
@@ -302,7 +302,7 @@ def qa_gate_statistics(spark, sf):
 def judge_allpass(spark, sf):
     d, q = t(spark, sf, "documents"), t(spark, sf, "labels")
     records = d.groupBy(F.col("source").alias("rec")).agg(F.count(F.lit(1)).alias("n")).withColumn("data_type", F.when(F.col("rec") == "src1", "paraphrase").otherwise("qa"))
-    scores = d.join(q, "doc_id").filter(F.col("doc_id") % 16 == 0).select(F.col("source").alias("rec"), F.when(F.col("quality") == 1, 5).otherwise(2).alias("score"))
+    scores = d.join(q, "doc_id").select(F.col("source").alias("rec"), F.when(F.col("quality") == 1, 5).otherwise(2).alias("score"))
     return R.judged(records, scores)
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -24,3 +25,17 @@ def ship_package(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, str(p.relative_to(root.parent)))
     context.addPyFile(target)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the folder that spark.checkpoint.dir names, read back: what several steps read is made once, and nothing is kept in memory."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="docloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -36,9 +36,11 @@ def markdown(spark: SparkSession, path: str, max_files: int | None = None) -> Da
 
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
     """JSON lines; blank ones are skipped, or fail if ``strict``."""
-    lines = spark.read.text(path)
-    if not strict:
-        lines = lines.filter(F.trim("value") != "")
+    lines, blank = spark.read.text(path), F.trim("value") == ""
+    if strict:
+        lines = lines.select(F.when(blank, F.raise_error(F.lit("blank line"))).otherwise(F.col("value")).alias("value"))
+    else:
+        lines = lines.filter(~blank)
     return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 

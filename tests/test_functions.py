@@ -1,6 +1,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -61,33 +62,26 @@ def test_toc_scan_equals_fold(spark):
     assert {k: v[-9:] for k, v in got.items()} == want
 
 
-def brute_windows(titles, least=3, most=7):
+def windows_by_definition(titles, least=3, most=7):
+    """Of all spans that hold the centre: within its run of equal titles the one that begins first, then ends last; then of those that make up for what is lacking the one
+    with the share nearest to half, rounded down, on the left."""
     n, out = len(titles), []
     for i in range(n):
-        s, e = i, i + 1
-        while s > 0 and titles[s - 1] == titles[i] and e - s < most:
-            s -= 1
-        while e < n and titles[e] == titles[i] and e - s < most:
-            e += 1
-        d = max(0, least - (e - s))
-        left = min(d // 2, s)
-        s1 = s - left
-        e1 = e + min(d - left, n - e)
-        if e1 - s1 < least:
-            if s1 > 0:
-                s1 = max(0, e1 - least)
-            elif e1 < n:
-                e1 = min(n, s1 + least)
-        out.append((s1, e1, i - s1))
+        spans = [(s, e) for s in range(i + 1) for e in range(i + 1, n + 1)]
+        s, e = min((x for x in spans if x[1] - x[0] <= most and len(set(titles[slice(*x)])) == 1), key=lambda x: (x[0], -x[1]))
+        lacking = max(0, least - (e - s))
+        size = min(n, e - s + lacking)
+        padded = min((x for x in spans if x[0] <= s and e <= x[1] and x[1] - x[0] == size), key=lambda x: abs(s - x[0] - lacking // 2))
+        out.append((*padded, i - padded[0]))
     return out
 
 
-def test_windows_equal_loop(spark):
+def test_windows_equal_their_definition(spark):
     rng = random.Random(5)
     for n in (1, 2, 40):
         rows = [(f"s{i // 7:03d}", i, rng.choice("ab"), "x") for i in range(n)]
         got = W.adaptive_windows(spark.createDataFrame(rows, "source string, id long, title string, content string")).orderBy("rn").collect()
-        assert [(r["win_start"], r["win_end"], r["center_idx"]) for r in got] == brute_windows([r[2] for r in rows])
+        assert [(r["win_start"], r["win_end"], r["center_idx"]) for r in got] == windows_by_definition([r[2] for r in rows])
 
 
 def test_chunks_are_whole(spark):
@@ -100,6 +94,46 @@ def test_chunks_are_whole(spark):
     assert text.split() == body.split()[: len(text.split())] and len(text.split()) > 0.95 * len(body.split())
 
 
+def test_null_source_keeps_its_chunks(spark):
+    rows = [(None, 1, "a", "x"), (None, 2, "a", "y"), ("s", 1, "a", "z"), ("s", 2, None, "w")]
+    df = spark.createDataFrame(rows, "source string, id long, title string, content string")
+    got = W.adaptive_windows(df).orderBy("rn").collect()
+    assert [(r["source"], r["id"], r["rn"]) for r in got] == [(None, 1, 0), (None, 2, 1), ("s", 1, 2), ("s", 2, 3)]
+    assert [(r["win_start"], r["win_end"], r["center_idx"]) for r in got] == windows_by_definition(["a", "a", "a", ""])
+    ids = C.with_ids(df.select("source", F.col("id").alias("seq"), "title", "content")).collect()
+    assert sorted(r["id"] for r in ids) == [0, 1, 2, 3]
+
+
+def test_no_chunk_is_above_the_budget(spark):
+    body = "breve\n\n" + " ".join(f"parola{i}" for i in range(3000)) + "\n\n<table><tr><td>" + " ".join(f"v{i}" for i in range(900)) + "</td></tr></table>"
+    rows = C.chunks(spark.createDataFrame([("IVA_2024.md", f"# x\n## Aliquote\n{body}")], "source string, md string"), max_tokens=200, min_chars=100).collect()
+    assert rows and all(len(r["content"].split()) <= 200 for r in rows)
+    assert all("\n\n## Aliquote\n\n" in r["content"] and r["title"] == "Aliquote" and r["content"].count("<table") == r["content"].count("</table>") for r in rows)
+    assert one(spark, lambda c: T.truncated(c, 20), "a " * 30 + "<b") == "a " * 10
+
+
+def test_random_negatives_of_any_ids(spark):
+    docs = spark.createDataFrame([(1000 * i, f"testo {i % 5}") for i in range(1, 41)], "doc_id long, text string")
+    taken = spark.createDataFrame([(1, 1000), (2, 2000)], "question long, doc long")
+    got = B.random_negatives(taken.select("question"), docs, taken, 12).collect()
+    assert sorted(r["question"] for r in got) == [1] * 12 + [2] * 12
+    assert all(r["doc"] // 1000 % 5 != r["question"] for r in got)
+    assert sorted((r["place"], r["doc"]) for r in B.ranks(docs).collect()) == [(i, 1000 * (i + 1)) for i in range(40)]
+
+
+def test_rankings_are_filled_up(spark):
+    docs = spark.createDataFrame([(7 * i, "gatto" if i == 9 else f"testo {i}") for i in range(20)], "doc_id long, text string")
+    got = B.bm25(docs, spark.createDataFrame([(1, "gatto")], "item_id long, text string"), k=5).orderBy("rank").collect()
+    assert [r["doc"] for r in got] == [63, 0, 7, 14, 21] and got[0]["score"] > 0 == got[1]["score"]
+
+
+def test_strict_lines_fail_on_a_blank_one(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"id": 1}\n\n{"id": 2}\n')
+    assert io.json_lines(spark, str(tmp_path), io.CHUNK).count() == 2
+    with pytest.raises(Exception, match="blank line"):
+        io.json_lines(spark, str(tmp_path), io.CHUNK, strict=True).collect()
+
+
 def test_pool_places_gold(spark):
     docs = spark.createDataFrame([(i, f"testo {i} parola{i % 7} " + ("gatto " * (i % 3))) for i in range(60)], "doc_id long, text string")
     questions = spark.createDataFrame([(1, "gatto parola3"), (2, "testo parola5")], "item_id long, text string")
