@@ -231,6 +231,76 @@ def test_url_filter(spark):
     assert sorted(map(str, con.execute(url_filter.url_filter_sql()).fetchall())) == sorted(str(tuple(r)) for r in got.values())
 
 
+def templates_by_definition(rows, support, share, deviations, smooth, reject):
+    """(template, purity) of each (host, path, label), walking down one node after another."""
+    named = {}
+
+    def descend(host, members, prefix):
+        below = defaultdict(list)
+        for i in members:
+            parts = rows[i][1].split("/")[1:]
+            if len(parts) == len(prefix):
+                named[i] = prefix
+            else:
+                below[parts[len(prefix)]].append(i)
+        total, children = sum(map(len, below.values())), defaultdict(list)
+        for s, inside in below.items():
+            plain = s == "" or (not re.search("[0-9*+]", s) and len(inside) >= max(support, share * total))
+            children[s if plain else "*" + re.search(r"((?:[.][A-Za-z]+)?)\Z", s)[1]] += inside
+        for g, inside in children.items():
+            descend(host, inside, (*prefix, g))
+
+    for host in {r[0] for r in rows}:
+        descend(host, [i for i, r in enumerate(rows) if r[0] == host], ())
+    plus = set()
+    nodes = defaultdict(lambda: defaultdict(Counter))
+    for i, t in named.items():
+        for j, g in enumerate(t):
+            if g and g[0] != "*":
+                nodes[rows[i][0], t[:j]][g][t[j + 1 :]] += 1
+    for (host, prefix), branches in nodes.items():
+        pooled = sum(branches.values(), Counter())
+        total, df = pooled.total(), len(pooled) - 1
+        for g, own in branches.items():
+            n = own.total()
+            if n < total:
+                statistic = sum((own[s] - n * pooled[s] / total) ** 2 / (n * pooled[s] / total) for s in pooled) / (1 - n / total)
+                if statistic <= df + deviations * math.sqrt(2 * df):
+                    plus.add((host, prefix, g))
+    full = {i: "".join("/" + ("+" if (rows[i][0], t[:j], g) in plus else g) for j, g in enumerate(t)) for i, t in named.items()}
+    labels = defaultdict(list)
+    for i, t in full.items():
+        if rows[i][2]:
+            labels[rows[i][0], t].append(rows[i][2] == "block")
+    purity = {(rows[i][0], t): (sum(labels[rows[i][0], t]) + smooth / 2) / (len(labels[rows[i][0], t]) + smooth) for i, t in full.items()}
+    return [(full[i], round(purity[rows[i][0], full[i]], 6), rows[i][2] or ("block" if purity[rows[i][0], full[i]] >= reject else "allow")) for i in range(len(rows))]
+
+
+def test_url_templates_of_any_depth(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(8)
+    urls = []
+    for _ in range(900):
+        host = rng.choice(("a.example.com", "b.example.com", "c.org"))
+        lang = rng.choice(("de", "fr", "it", *(["wiki"] if host == "c.org" else [])))
+        deep = f"news/{rng.choice(('sport', 'arte'))}/{rng.randrange(99)}/x{rng.randrange(3)}.html" if lang != "wiki" else rng.choice(("talk/a/b/c/d", "talk/a/b/c/e/", "+/*"))
+        urls.append(f"http://{host}/{lang}/{deep}")
+    urls += ["http://a.example.com", "http://a.example.com/", "http://a.example.com//", "http://d.org/" + "/".join("pq" * 400), None, "zz"]
+    df = _stored(spark, [(i % 800, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    settings = {"min_support": 5, "min_share": 0.02, "deviations": 3.0, "smooth": 4, "reject": 0.8}
+    got = sorted(map(str, (tuple(r) for r in url_filter.url_filter(df, **settings).collect())))
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    assert got == sorted(map(str, con.execute(url_filter.url_filter_sql(**settings)).fetchall()))
+    rules = {None: None} | {r: v for v, r in url_filter.RULES}
+    asked = [(r["host"], r["path"], rules[r["rule"]]) for r in url_filter.url_filter(df, **settings).orderBy("page_id", "path", "host").collect()]
+    rows = [(r["template"], r["purity"], r["verdict"]) for r in url_filter.url_filter(df, **settings).orderBy("page_id", "path", "host").collect()]
+    assert rows == templates_by_definition(asked, *settings.values())
+    assert any("+" in t for t, _, _ in rows) and any(t.startswith("/wiki/talk/a/b/c/") for t, _, _ in rows)
+    assert any(v == "block" and not label for (_, _, v), (_, _, label) in zip(rows, asked))
+    assert url_filter.url_filter(df.limit(0)).count() == 0
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     words = [f"w{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(400)]
