@@ -138,7 +138,7 @@ def legal_split(c: Column, budget: int, count=word_count) -> Column:
     return F.when(F.size(pieces) > 1, packed).otherwise(F.array(c))
 
 
-def paragraph_pack(c: Column, budget: int, count=word_count) -> Column:
+def paragraph_pack(c: Column, budget: int, count=word_count, cut_at=sentences) -> Column:
     """Paragraphs packed up to the budget; an oversize one is cut into sentences only if nothing is pending before it."""
     paragraphs = F.filter(F.transform(F.split(c, r"(?U)\n\s*\n"), stripped), lambda x: x != "")
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
@@ -146,7 +146,7 @@ def paragraph_pack(c: Column, budget: int, count=word_count) -> Column:
     def step(acc: Column, x: Column) -> Column:
         longer = F.when(acc["cur"] == "", x).otherwise(F.concat(acc["cur"], F.lit("\n\n"), x))
         flushed = F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), x.alias("cur"))
-        cut = F.struct(F.concat(acc["done"], pack(sentences(x), budget, " ", count)).alias("done"), F.lit("").alias("cur"))
+        cut = F.struct(F.concat(acc["done"], pack(F.filter(F.transform(cut_at(x), stripped), lambda y: y != ""), budget, " ", count)).alias("done"), F.lit("").alias("cur"))
         return F.when(count(longer) <= budget, F.struct(acc["done"].alias("done"), longer.alias("cur"))).when(acc["cur"] == "", cut).otherwise(flushed)
 
     return F.aggregate(paragraphs, start, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))

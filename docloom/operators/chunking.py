@@ -1,7 +1,7 @@
 """Markdown to chunks: sections, tables of contents, page numbers, budgets.
 
 Sections and the table-of-contents state are window scans within a source; the greedy packing runs inside one row's arrays. Everything is built-in expressions
-unless a token counter of another kind is given.
+unless a tokenizer is given.
 """
 
 from __future__ import annotations
@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.operators.splitting import split_sections
+from docloom.session import running_sum
 
 #: Defaults of the chunker: tokens in a chunk, words and characters below which one is dropped.
 MAX_TOKENS, MIN_WORDS, MIN_CHARS = 1024, 10, 500
 _MARK = "\u0001"
+_TABLE = "\u0002"
 
 
 def sections(docs: DataFrame) -> DataFrame:
@@ -79,36 +82,52 @@ def useful(sections_: DataFrame) -> DataFrame:
 
 
 def split_long(body, budget, count=T.word_count):
-    """Legal items first; then each part with a table is split at its tables, the others at paragraphs."""
+    """Legal items first; then paragraphs, packed with each table counted as one mark. Where the tables themselves do not fit, they are cut by rows between the texts around them."""
 
     def with_tables(x):
-        pieces = F.filter(F.transform(F.split(x, r"(?is)(?=<table[^>]*>)|(?<=</table>)"), T.stripped), lambda y: y != "")
-        cut = F.flatten(F.transform(pieces, lambda y: F.when(y.rlike("(?i)^<table") & (count(y) > budget), T.split_table(y, budget, count)).when(y.rlike("(?i)^<table"), F.array(y)).otherwise(T.paragraph_pack(y, budget, count))))
-        return F.when(count(x) <= budget, F.array(x)).when(T.has_table(x), T.pack(cut, budget, "\n\n", count)).otherwise(T.paragraph_pack(x, budget, count))
+        found = T.tables(x)
+        between = F.split(x, r"(?is)<table[^>]*>.*?</table>")
+        marked = F.array_join(F.transform(between, lambda y, i: F.when(i < F.size(found), F.concat(y, F.lit(_TABLE), i.cast("string"), F.lit(_TABLE))).otherwise(y)), "")
+
+        def restored(part):
+            # Every second piece is the number of a table
+            pieces = F.transform(F.split(part, _TABLE), lambda y, i: F.when(i % 2 == 1, F.get(found, F.try_to_number(y, F.lit("999999999")).cast("int"))).otherwise(y))
+            whole = F.array_join(pieces, "")
+            apart = F.flatten(F.transform(pieces, lambda y, i: F.when(i % 2 == 1, T.split_table(y, budget, count)).when(T.stripped(y) != "", F.array(T.stripped(y))).otherwise(F.array().cast("array<string>"))))
+            return F.when((F.size(pieces) == 1) | (count(whole) <= budget), F.array(whole)).otherwise(apart)
+
+        packed = F.flatten(F.transform(T.paragraph_pack(marked, budget, count, T.simple_sentences), restored))
+        return F.when(F.size(found) > 0, packed).otherwise(T.paragraph_pack(x, budget, count))
 
     return F.flatten(F.transform(T.legal_split(body, budget, count), with_tables))
 
 
-def chunks(docs: DataFrame, max_tokens: int = MAX_TOKENS, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, count=T.word_count) -> DataFrame:
+def chunks(docs: DataFrame, max_tokens: int = MAX_TOKENS, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, make_tokenizer=None) -> DataFrame:
     """(source, seq, title, content) of Markdown documents (source, md): the whole chunker. seq orders a source's chunks. The content begins
-    with a line on the source and the heading as it stands; a part that stays above the budget is cut (``T.truncated``), so no chunk holds more than ``max_tokens``."""
+    with a line on the source and the heading as it stands; a part that stays above the budget is cut, so no chunk holds more than ``max_tokens``: words, counted by built-in
+    expressions, or the tokens of what ``make_tokenizer`` returns (``splitting.Subwords``), counted in Arrow batches."""
     rows = useful(assembled(toc_states(sections(docs))))
-    meta = T.file_metadata(F.col("source"))
+    meta = T.file_metadata(F.coalesce("source", F.lit("")))
     rows = rows.withColumn("m", meta).withColumn("clean", T.clean_title(F.col("title")))
     line = F.concat(F.lit("> "), F.col("m.source_cleaned"), F.lit(" "), F.col("m.year"), F.lit(" | "), F.col("m.topic"), F.lit(" | p."), F.col("page"), F.lit(" <\n\n"))
-    rows = rows.withColumn("lead", F.concat(line, F.col("title"), F.lit("\n\n"))).withColumn("budget", F.lit(max_tokens) - count(F.col("lead")))
-    parts = rows.select("source", "sec", "clean", "lead", F.posexplode(split_long(F.col("body"), F.col("budget"), count)).alias("k", "part"))
-    kept = parts.filter(count(F.col("part")) >= min_words).withColumn("content", T.balance_tables(T.truncated(F.concat("lead", "part"), max_tokens, count))).filter(T.content_length(F.col("content")) >= min_chars)
+    rows = rows.withColumn("lead", F.concat(line, T.stripped(F.col("title")), F.lit("\n\n")))
+    if make_tokenizer is not None:
+        made = split_sections(rows, make_tokenizer, max_tokens, min_words)
+    else:
+        rows = rows.withColumn("budget", F.lit(max_tokens) - T.word_count(F.col("lead")))
+        parts = rows.select("source", "sec", "clean", "lead", F.posexplode(split_long(F.col("body"), F.col("budget"))).alias("k", "part")).filter(T.word_count(F.col("part")) >= min_words)
+        made = parts.withColumn("content", T.truncated(F.concat("lead", T.stripped(F.col("part"))), max_tokens))
+    kept = made.withColumn("content", T.balance_tables(F.col("content"))).filter(T.content_length(F.col("content")) >= min_chars)
     order = Window.partitionBy("source").orderBy("sec", "k")
     return kept.select("source", (F.row_number().over(order) - 1).alias("seq"), F.col("clean").alias("title"), "content")
 
 
 def with_ids(chunks_: DataFrame) -> DataFrame:
     """Dense 0-based ids by (source, seq): a position within the source plus the sizes of the sources before."""
-    sizes = chunks_.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.select("source", (F.sum("size").over(Window.orderBy("source")) - F.col("size")).alias("before"))  # one row per source
+    sizes = running_sum(chunks_.groupBy("source").agg(F.count(F.lit(1)).alias("size")), "source", "size", "upto")
+    before = sizes.select(F.col("source").alias("same"), (F.col("upto") - F.col("size")).alias("before"))
     own = F.row_number().over(Window.partitionBy("source").orderBy("seq")) - 1
-    return chunks_.withColumn("own", own).join(before.withColumnRenamed("source", "same"), F.col("source").eqNullSafe(F.col("same"))).select((F.col("own") + F.col("before")).cast("long").alias("id"), "source", "title", "content")
+    return chunks_.withColumn("own", own).join(before, F.col("source").eqNullSafe(F.col("same"))).select((F.col("own") + F.col("before")).cast("long").alias("id"), "source", "title", "content")
 
 
 def pages_markdown(pages: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.sources.io import numbered_lines
+
 STATUSES = ("approved", "rejected", "flagged", "pending")
 
 
@@ -17,6 +19,17 @@ def review_set(**stages: DataFrame) -> DataFrame:
     return out
 
 
+def stage_files(spark, paths: dict[str, str], schemas: dict[str, str]) -> dict[str, DataFrame]:
+    """The stages whose files are there, each with ``line``: blank lines are left out but counted."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs, {}
+    for name, path in paths.items():
+        where = hadoop.Path(path)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            rows = numbered_lines(spark, path).filter(F.trim("value") != "")
+            out[name] = rows.select("line", F.from_json("value", schemas[name]).alias("r")).select("line", "r.*")
+    return out
+
+
 def with_status(rows: DataFrame, status: DataFrame) -> DataFrame:
     """_status from (_id, status); pending without one."""
     return rows.join(status.select("_id", F.col("status").alias("_status")), "_id", "left").withColumn("_status", F.coalesce("_status", F.lit("pending")))

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import running_sum, written
+
 
 def positions(chunks: DataFrame) -> DataFrame:
     """``chunks`` with rn, the 0-based position by (source, id), and n, the number of all chunks. A null source is a source of its own, before the others."""
-    sizes = chunks.groupBy("source").agg(F.count(F.lit(1)).alias("size"))
-    # One row per source
-    before = sizes.select("source", (F.sum("size").over(Window.orderBy("source")) - F.col("size")).alias("before"), F.sum("size").over(Window.partitionBy()).alias("n"))
+    sizes = running_sum(chunks.groupBy("source").agg(F.count(F.lit(1)).alias("size")), "source", "size", "upto")
+    before = sizes.select(F.col("source").alias("same"), (F.col("upto") - F.col("size")).alias("before")).crossJoin(F.broadcast(sizes.agg(F.sum("size").alias("n"))))  # one row
     own = F.row_number().over(Window.partitionBy("source").orderBy("id")) - 1
-    return chunks.withColumn("own", own).join(before.withColumnRenamed("source", "same"), F.col("source").eqNullSafe(F.col("same"))).drop("same").withColumn("rn", (F.col("before") + F.col("own")).cast("long")).drop("before")
+    return chunks.withColumn("own", own).join(before, F.col("source").eqNullSafe(F.col("same"))).drop("same").withColumn("rn", (F.col("before") + F.col("own")).cast("long")).drop("before")
 
 
 def _runs(placed: DataFrame) -> DataFrame:
@@ -31,8 +32,9 @@ def _runs(placed: DataFrame) -> DataFrame:
     # Only a source's first and last runs can go on in another source
     last = runs.groupBy(F.col("source").alias("same")).agg(F.max("run").alias("last"))
     edge = ends.join(last, F.col("source").eqNullSafe(F.col("same"))).filter((F.col("run") == 1) | (F.col("run") == F.col("last")))
-    by = Window.orderBy("rs")
-    chain = edge.withColumn("fresh", F.coalesce((F.lag("t").over(by) != F.col("t")) | (F.lag("re").over(by) + 1 != F.col("rs")), F.lit(True)).cast("int")).withColumn("chain", F.sum("fresh").over(by))
+    edge = written(edge.select("source", "run", "rs", "re", "t"), "edges")
+    ahead = edge.select((F.col("re") + 1).alias("rs"), "t", F.lit(0).alias("fresh"))
+    chain = running_sum(edge.join(ahead, ["rs", "t"], "left").withColumn("fresh", F.coalesce("fresh", F.lit(1))), "rs", "fresh", "chain")
     whole = chain.groupBy("chain").agg(F.min("rs").alias("wrs"), F.max("re").alias("wre")).join(chain.select("chain", F.col("source").alias("same"), F.col("run").alias("nth")), "chain").drop("chain")
     one = F.col("source").eqNullSafe(F.col("same")) & (F.col("run") == F.col("nth"))
     joined = ends.drop("t").join(whole, one, "left").select(F.col("source").alias("same"), F.col("run").alias("nth"), F.coalesce("wrs", "rs").alias("rs"), F.coalesce("wre", "re").alias("re"))

@@ -8,7 +8,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -39,3 +40,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def running_sum(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows`` with ``name``, the sum of ``value`` up to and with the row in the order of ``key`` (unique; null first). Rows are ranged into partitions, whose sums are
+    added up in one row each; no task sees all rows."""
+    ranged = written(rows.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = totals.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_before"))
+    own = F.sum(value).over(Window.partitionBy("_part").orderBy(key))
+    return ranged.withColumn(name, own).join(F.broadcast(before), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")

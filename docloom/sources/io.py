@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.session import written
+
 CHUNK = "id long, source string, title string, content string"
 STAGE12 = "question string, docs array<string>, answer string, data_type string, pos_index array<int>, metadata struct<type:string,source_chunk_id:long>"
 
@@ -30,7 +32,7 @@ def page_ranges(files: DataFrame, block: int = 6, max_pages: int | None = None)
 
 def markdown(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """(source, md) of the ``*.md`` files of a folder, not of its subfolders; the first ``max_files`` by name."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(path).select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("md"))
+    files = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("md"))
     return files if max_files is None else files.orderBy("source").limit(max_files)
 
 
@@ -61,13 +63,38 @@ def write_stage1(records: DataFrame, path: str, mode: str = "append") -> None:
     plain.select(F.when(F.col("data_type") == "paraphrase", single).otherwise(listed).alias("value")).write.mode(mode).text(path)
 
 
+def write_generated(stage1: DataFrame, stage12: DataFrame, windows: DataFrame, path1: str, path12: str, done: str, mode: str = "append") -> None:
+    """Both record files are appended to, then the checkpoint: a run that breaks in between repeats its windows, and loses none."""
+    write_stage1(stage1, path1, mode)
+    write_json_lines(stage12, path12, mode)
+    record_done(windows, done)
+
+
+def write_layout(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A JSON list of {page, blocks} for each source, below ``path``/source=…; pages that are missing or have no layout are left out."""
+    one = F.concat(F.lit('{"page": '), F.col("page").cast("string"), F.lit(', "blocks": '), F.col("blocks"), F.lit("}"))
+    listed = pages.filter("not missing and blocks is not null").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("page", one.alias("json")))).alias("p"))
+    whole = F.concat(F.lit("["), F.array_join(F.transform("p", lambda x: x["json"]), ", "), F.lit("]"))
+    listed.select("source", whole.alias("value")).write.mode(mode).partitionBy("source").text(path)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): every physical line with its 0-based number in its file. Lines are counted within the blocks that Spark reads, blocks are summed up; no task sees a whole file."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    rows = written(rows, "lines")
+    sizes = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("file", "block", (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("before"))
+    own = F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1
+    return rows.withColumn("own", own).join(before, ["file", "block"]).select("file", (F.col("own") + F.col("before")).alias("line"), "value")
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
-def record_done(windows: DataFrame, path: str) -> None:
+def record_done(windows: DataFrame, path: str, mode: str = "append") -> None:
     """Append (win_idx, status) to the checkpoint table."""
-    windows.select("win_idx", "status", F.current_timestamp().alias("ts")).write.mode("append").parquet(path)
+    windows.select("win_idx", "status", F.current_timestamp().alias("ts")).write.mode(mode).parquet(path)
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:

@@ -183,6 +183,174 @@ def test_markdown_source_and_stream(spark, tmp_path):
     (folder / "sub").mkdir(parents=True)
     for name in ("b.md", "a.md"):
         (folder / name).write_text("# t\n## Aliquote\n" + "parola " * 200)
-    assert [r["source"] for r in io.markdown(spark, str(folder), 1).collect()] == ["a.md"]
+    assert [(r["source"], len(r["md"])) for r in io.markdown(spark, str(folder), 1).collect()] == [("a.md", 1416)]
     chunk_stream(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     assert {r["source"] for r in spark.read.parquet(str(tmp_path / "out")).select("source").collect()} == {"a.md", "b.md"}
+
+
+def random_text(rnd):
+    words = ["alfa", "Beta", "art.", "12", "gamma.", "Delta!", "e", "Sez."]
+    table = lambda: "<table><tr><th>k</th></tr>" + "".join(f"<tr><td>r {i}</td></tr>" for i in range(rnd.randint(0, 12))) + "</table>"
+    kinds = [lambda: " ".join(rnd.choices(words, k=rnd.randint(1, 30))), table, lambda: "\n*" + rnd.choice(["a", "b", "m-bis", "3"]) + ")* voce", lambda: "2. *Sono deducibili:*"]
+    return "".join(rnd.choices(kinds, [6, 2, 1, 1])[0]() + rnd.choice(["\n\n", "\n", " "]) for _ in range(rnd.randint(1, 9)))
+
+
+def test_splitting_by_tokenizer_equals_columns(spark):
+    from docloom.operators.splitting import Splitter, Words
+
+    rnd = random.Random(7)
+    texts = [random_text(rnd) for _ in range(150)] + ["", "\n\n", "x"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string")
+    rows = df.select("i", C.split_long(F.col("t"), F.lit(20)).alias("p"), T.sentences(F.col("t")).alias("s")).collect()
+    from docloom.operators import splitting as S
+
+    splitter = Splitter(Words())
+    for r in rows:
+        text = texts[r["i"]]
+        assert r["p"] == splitter.parts(text, 20), text
+        assert r["s"] == S.sentences(text), text
+        assert "".join(" ".join(r["p"]).split()).count("voce") == text.count("voce")
+
+
+def test_tables_around_text_are_all_kept(spark):
+    from docloom.operators.splitting import Splitter, Words
+
+    tables = ["<table><tr><th>k</th></tr>" + "".join(f"<tr><td>{n} {i}</td></tr>" for i in range(9)) + "</table>" for n in "pq"]
+    text = f"prima {tables[0]} mezzo {tables[1]} dopo"
+    got = one(spark, lambda c: C.split_long(c, F.lit(12)), text)
+    assert got == Splitter(Words()).parts(text, 12)
+    assert got[0] == "prima" and got[-1] == "dopo" and "mezzo" in got
+    assert all(f"{n} {i}</td>" in "".join(got) for n in "pq" for i in range(9))
+
+
+def test_no_chunk_is_above_the_budget_in_subwords(spark):
+    from docloom.operators.splitting import Subwords
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    body = " ".join(f"Frase numero {i}." for i in range(200)) + "\n\nbreve\n\n" + " ".join(f"parola{i}" for i in range(900))
+    docs = spark.createDataFrame([("IVA_2024.md", f"# x\n## Aliquote\n{body}"), (None, None)], "source string, md string")
+    rows = C.chunks(docs, max_tokens=200, min_chars=100, make_tokenizer=lambda: Subwords(path)).collect()
+    sizes = [len(Subwords(path).encode(r["content"])) for r in rows]
+    assert len(rows) > 4 and max(sizes) <= 200 and max(sizes) > 150
+    assert all("\n\n## Aliquote\n\n" in r["content"] for r in rows)
+
+
+def test_running_sum_equals_a_fold(spark):
+    from docloom.session import running_sum
+
+    rnd = random.Random(3)
+    values = [(None, 4)] + [(k, rnd.randint(0, 9)) for k in rnd.sample(range(5000), 700)]
+    got = {r["k"]: r["upto"] for r in running_sum(spark.createDataFrame(values, "k int, v int"), "k", "v", "upto").collect()}
+    total = 0
+    for k, v in sorted(values, key=lambda x: -1 if x[0] is None else x[0]):
+        total += v
+        assert got[k] == total
+    assert running_sum(spark.createDataFrame([], "k int, v int"), "k", "v", "upto").count() == 0
+
+
+def test_prompt_templates(spark):
+    from docloom.operators.prompts import filled
+
+    assert one(spark, lambda c: filled('{{"x": "{a}"}} {b}', a=c, b=F.lit(None)), "è") == '{"x": "è"} '
+    with pytest.raises(ValueError):
+        filled("{a} {c}", a=F.lit(1))
+
+
+def test_judge_stops_at_the_first_low_score(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def client():
+        def call(prompt):
+            with open(log, "a") as f:
+                f.write(prompt + "\n")
+            if "rotto" in prompt:
+                raise ValueError("no")
+            return {"response": 'ecco {"score": %s}' % prompt.split("=")[1]}
+
+        return call
+
+    rows = [("qa", ["a", "b"], ["=5", "=4"]), ("qa", ["c", "d"], ["=3", "=5"]), ("qa", ["e"], ["rotto=5"]), ("paraphrase", [""], ["=1"]), ("qa", ["f"], ["=null"]), ("qa", None, None)]
+    df = spark.createDataFrame([(i, *x, ["doc"]) for i, x in enumerate(rows)], "i int, data_type string, question array<string>, answers array<string>, docs array<string>")
+    assert sorted(r["i"] for r in G.judge(df, client, "{question}{answer}", first_wait=0).collect()) == [0, 3, 5]
+    calls = open(log).read().split()
+    assert "d=5" not in calls and calls.count("erotto=5") == 3
+
+
+def test_conversion_of_a_folder(spark, tmp_path):
+    from docloom.operators import conversion
+
+    for name, content in (("a", "uno|due|!|quattro"), ("b", "?"), ("c", "x"), ("d", "p|q")):
+        (tmp_path / f"{name}.pdf").write_text(content)
+
+    def count(content):
+        return len(content.decode().split("|")) if content != b"?" else int("no")
+
+    def render(content, first, last):
+        return [(n, content.decode().split("|")[n - 1].encode()) for n in range(first, last + 1) if content.decode().split("|")[n - 1] != "due"]
+
+    def model():
+        def read(image):
+            if image == b"!":
+                raise ValueError("vuota")
+            return image.decode().upper()
+
+        return read
+
+    def layout(image):
+        return [{"kind": image.decode()}]
+
+    made = spark.createDataFrame([("c",)], "stem string")
+    md, pages, report = conversion.convert(io.pdfs(spark, str(tmp_path)), made, count, render, model, 3, 4, layout)
+    assert {r["source"]: (r["pages"], r["missing"]) for r in report.collect()} == {"a": (4, 1), "d": (2, 0)}
+    texts = {r["source"]: r["md"] for r in md.collect()}
+    assert texts["a"] == "# a\n\n## Page 1\n\nUNO\n\n---\n\n## Page 3\n\n> [Error] vuota\n\n---\n\n## Page 4\n\nQUATTRO\n\n---\n\n"
+    io.write_layout(pages, str(tmp_path / "layout"))
+    listed = {r["source"]: json.loads(r["value"]) for r in spark.read.option("wholetext", True).text(str(tmp_path / "layout")).collect()}
+    assert listed["d"] == [{"page": 1, "blocks": [{"kind": "p"}]}, {"page": 2, "blocks": [{"kind": "q"}]}] and [x["page"] for x in listed["a"]] == [1, 3, 4]
+
+
+def test_png_is_rgb():
+    import zlib
+
+    import numpy as np
+
+    from docloom.models import png
+
+    for image in (np.arange(6, dtype=np.uint8).reshape(2, 3), np.arange(24, dtype=np.uint8).reshape(2, 3, 4)):
+        data = png(image)
+        start = data.index(b"IDAT") + 4
+        lines = np.frombuffer(zlib.decompress(data[start : start + int.from_bytes(data[start - 8 : start - 4], "big")]), np.uint8).reshape(2, 10)
+        want = np.stack([image] * 3, axis=2) if image.ndim == 2 else image[:, :, :3]
+        assert (lines[:, 0] == 0).all() and (lines[:, 1:].reshape(2, 3, 3) == want).all()
+
+
+def test_physical_line_numbers(spark, tmp_path):
+    lines = [json.dumps({"question": f"q{i}"}) if i % 7 else "" for i in range(3000)]
+    (tmp_path / "s.jsonl").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # many blocks
+    try:
+        stages = V.stage_files(spark, {"stage1": str(tmp_path / "s.jsonl"), "stage3": str(tmp_path / "none")}, {"stage1": "question string"})
+        rows = stages["stage1"].collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert set(stages) == {"stage1"} and {r["line"]: r["question"] for r in rows} == {i: f"q{i}" for i in range(3000) if i % 7}
+
+
+def test_command_lines(spark, tmp_path):
+    from docloom.__main__ import main
+
+    (tmp_path / "md").mkdir()
+    for n in "ab":
+        (tmp_path / "md" / f"{n}.md").write_text(f"# t\n## Aliquote {n}\n" + "Una parola di piu. " * 100)
+    (tmp_path / "prompt").write_text('Testo {{"x"}}: {windows_text}')
+    chunks, made = str(tmp_path / "chunks"), str(tmp_path / "made")
+    main(["chunk", str(tmp_path / "md"), chunks, "--max-tokens", "150"])
+    n = spark.read.json(chunks).count()
+    assert n >= 4
+    generate = ["generate", chunks, made, "--client", "docloom.models:echo_client", "--template", str(tmp_path / "prompt")]
+    main([*generate, "--limit", "1"])
+    main(generate)
+    done = io.read_done(spark, f"{made}/done").collect()
+    assert sorted(r["win_idx"] for r in done) == list(range(n)) and {r["status"] for r in done} == {"processed"}
+    assert io.stage1_lines(spark, f"{made}/stage1").filter("data_type = 'paraphrase'").count() == n
