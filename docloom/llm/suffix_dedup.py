@@ -2,12 +2,12 @@
 
 Every byte is removed that is covered by a ``length``-byte string which also starts anywhere else. Suffixes are sorted only as far as they
 need to be: a string of ``length`` bytes has the bucket of its least q-gram (the first of equal ones) as its initial bucket, so equal strings fall into equal buckets
-and only one position in about ``(length - q) / 2`` is dealt out. Buckets with one member are settled. The others are refined like suffix buckets, by
-sorting on the identifiers of the buckets that their later offsets q, 2q, ... are in; each refinement gives new identifiers, which the next
-one reuses, until ``length`` bytes are compared or a bucket has one member.
+and only one position in about ``(length - q) / 2`` is dealt out. Buckets with one member are settled. The bytes of the others are brought together, and all positions
+in them are sorted into q-gram buckets, which are refined by sorting on the identifiers of the buckets that a later offset is in by then: 64 bytes become 128, and those
+200. Each refinement gives new identifiers, which the next one looks up; a position is settled when it is alone or points to one that is.
 
-A bucket of more than ``hot`` members is not brought together: its strings' final identifiers are dealt out by value instead and compared there,
-packed, and the answers go back to the slices of rows that they came from.
+A bucket of more than ``hot`` members is not brought together: its strings' final identifiers, refined in the same steps, are dealt out by value instead and compared
+there, packed. A slice of rows sends a value twice at most, however many strings have it, and the answers go back to the slice. Identifiers of the first q-grams are 64-bit hashes, and bytes are not compared.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; repeated rows are different documents, so that all
 their copies are removed; ids may be null; strings never cross documents; an empty table gives an empty result; other columns are kept as they are, whatever
@@ -120,14 +120,19 @@ def _work(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in types.items()], _WORK)
 
 
-def offsets_to(length: int, q: int) -> list[int]:
-    """The later offsets whose buckets refine a string's: together with the first q bytes they cover ``length``."""
-    return [*range(q, length - q + 1, q), *([length - q] if length % q else [])]
+def refinements(length: int, q: int) -> list[tuple[int, int]]:
+    """(later offset, bytes compared afterwards) of each refinement: a bucket of h bytes and the one at the offset make a bucket of up to 2h."""
+    out, have = [], q
+    while have < length:
+        wide = min(2 * have, length)
+        out.append((wide - have, wide))
+        have = wide
+    return out
 
 
 def _spread(length: int, q: int, parts: int):
     """The strings of crowded anchors. kind 0: bytes that hold them, keyed by bucket; of hot buckets, kind 1: final identifiers, keyed by
-    their value, and kind 2: what the slice's identifiers stand for."""
+    their value, with their numbers in the slice, and kind 2: the rows and (start, number) pairs of the slice's strings."""
 
     def run(reader):
         for batch, texts in batches(reader, "text"):
@@ -150,51 +155,65 @@ def _spread(length: int, q: int, parts: int):
                 )
             if hot:
                 data = [texts[of[i]][start[i] : start[i] + count[i] - 1 + length] for i in hot]
-                ids, row, within = final_identifiers(data, length, q)
+                every, row, within = final_identifiers(data, length, q)
+                ids, value, size = np.unique(every, return_inverse=True, return_counts=True)
                 rid = np.array([rids[of[i]] for i in hot], dtype=np.int64)
                 name = f"{rid[0]}:{start[hot[0]]}:{len(hot)}"
-                yield _work(1, kind=[2], key=[int(mix(rid[:1].view(np.uint64))[0].view(np.int64))], slice=[name], rows=[rid[row].tobytes()], starts=[(start[hot][row] + within).astype("<i4").tobytes()])
+                yield _work(1, kind=[2], key=[int(mix(rid[:1].view(np.uint64))[0].view(np.int64))], slice=[name], rows=[rid[row].tobytes()], starts=[np.stack([start[hot][row] + within, value], axis=1).astype("<i4").tobytes()])
+                # A value goes out once for the slice, twice if the slice has it more than once
+                sent = np.repeat(np.arange(len(ids)), np.minimum(size, 2))
+                ids = ids[sent]
                 to = (ids % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 edge = np.searchsorted(to[order], np.arange(parts + 1))
                 full = [k for k in range(parts) if edge[k + 1] > edge[k]]
-                yield _work(len(full), kind=[1] * len(full), key=full, slice=[name] * len(full), data=[ids[order[edge[k] : edge[k + 1]]].tobytes() for k in full], rows=[order[edge[k] : edge[k + 1]].astype("<i4").tobytes() for k in full])
+                yield _work(len(full), kind=[1] * len(full), key=full, slice=[name] * len(full), data=[ids[order[edge[k] : edge[k + 1]]].tobytes() for k in full], rows=[sent[order[edge[k] : edge[k + 1]]].astype("<i4").tobytes() for k in full])
 
     return run
 
 
-def _strings(data: list[bytes], length: int):
-    """(all bytes, position, row, start within the row) of every string of ``length`` bytes."""
+def _grams(data: list[bytes], q: int):
+    """(start of each row and the end of all, end of each byte's row, positions of q-grams, their hashes) in the joined rows."""
     sizes = np.fromiter(map(len, data), np.int64, len(data))
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    count = np.maximum(sizes - length + 1, 0)
-    row = np.repeat(np.arange(len(data)), count)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return np.frombuffer(b"".join(data), np.uint8), offsets[row] + within, row, within
+    ends = np.repeat(offsets[1:], sizes)
+    at = np.flatnonzero(np.arange(len(ends)) + q <= ends)
+    return offsets, ends, at, Substrings(byte_values(np.frombuffer(b"".join(data), np.uint8)))(at, at + q)
+
+
+def _located(at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    row = np.searchsorted(offsets, at, side="right") - 1
+    return row, at - offsets[row]
 
 
 def final_identifiers(data: list[bytes], length: int, q: int):
-    whole, at, row, within = _strings(data, length)
-    grams = Substrings(byte_values(whole))
-    ids = grams(at, at + q)
-    for k in offsets_to(length, q):
-        ids = mix(ids * _STEP + grams(at + k, at + k + q))
-    return ids, row, within
-
-
-def refine(data: list[bytes], buckets: np.ndarray, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, np.ndarray]:
-    """(row, start within it) of every string that occurs twice or more among rows of one bucket."""
-    whole, at, row, within = _strings(data, length)
-    grams = Substrings(byte_values(whole))
-    ids = mix(buckets[row] * _STEP + grams(at, at + q))
-    live = np.arange(len(at))
-    for k in [*offsets_to(length, q), None]:
-        many, _ = repeated(ids)
-        live, ids = live[many], ids[many]
-        if k is not None:
-            p = at[live] + k
-            ids = mix(ids * _STEP + grams(p, p + q))
-    return row[live], within[live]
+    """(identifier, row, start within it) of every string of ``length`` bytes: buckets refined as in ``refine``, but named by value, so that they mean the same everywhere."""
+    offsets, ends, at, grams = _grams(data, q)
+    ids = np.zeros(len(ends), np.uint64)
+    ids[at] = grams
+    for gap, wide in refinements(length, q):
+        at = at[at + wide <= ends[at]]
+        new = mix(ids[at] * _STEP + ids[at + gap])
+        ids[at] = new
+    return ids[at], *_located(at, offsets)
+
+
+def refine(data: list[bytes], length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start within it) of every string of ``length`` bytes that occurs twice or more. Positions are sorted into buckets by their q-grams, then by their bucket and the
+    one that the position ``gap`` further is in by now; a position is settled when its bucket has one member or points to one that is settled."""
+    offsets, ends, at, keys = _grams(data, q)
+    bucket = np.full(len(ends), -1, np.int64)
+    for gap, wide in [*refinements(length, q), (0, 0)]:
+        _, of, size = np.unique(keys, return_inverse=True, return_counts=True)
+        bucket[:] = -1
+        many = size[of] > 1
+        at = at[many]
+        bucket[at] = of[many]
+        if wide:
+            at = at[at + wide <= ends[at]]
+            at = at[bucket[at + gap] >= 0]
+            keys = bucket[at] * len(ends) + bucket[at + gap]
+    return _located(at, offsets)
 
 
 def _ranges(rid: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
@@ -214,8 +233,8 @@ def _settle(length: int, q: int):
     """Rows in groups of (kind, key), sorted: ranges of repeated strings; for hot ones, which of a slice's strings are repeated."""
 
     def cold(rows):
-        key, rid, start, data = zip(*rows, strict=True)
-        row, within = refine(list(data), np.array(key, dtype=np.int64).view(np.uint64), length, q)
+        rid, start, data = zip(*rows, strict=True)
+        row, within = refine(list(data), length, q)
         if len(row):
             yield _ranges(np.array(rid, dtype=np.int64)[row], np.array(start, dtype=np.int64)[row] + within, length)
 
@@ -238,11 +257,11 @@ def _settle(length: int, q: int):
                     yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([name]), pa.array([index], pa.binary()), pa.array([starts], pa.binary())], _FOUND)
                     continue
                 if (kind, key) != group:
-                    if rows and (group[0] == 1 or kind != 0 or size > 4_000_000):
+                    if rows and (group[0] == 1 or kind != 0 or size > 1_500_000):
                         yield from (hot if group[0] else cold)(rows)
                         rows, size = [], 0
                     group = kind, key
-                rows.append((name, data, index) if kind else (key, rid, start, data))
+                rows.append((name, data, index) if kind else (rid, start, data))
                 size += len(data)
         if rows:
             yield from (hot if group[0] else cold)(rows)
@@ -257,8 +276,9 @@ def _answer(length: int):
         name, table_, hits = None, None, []
 
         def close():
-            at = np.concatenate([np.frombuffer(x, "<i4") for x in hits])
-            return _ranges(np.frombuffer(table_[0], np.int64)[at], np.frombuffer(table_[1], "<i4")[at].astype(np.int64), length).select(["rid", "start", "end"])
+            start, value = np.frombuffer(table_[1], "<i4").reshape(-1, 2).T.astype(np.int64)
+            at = np.flatnonzero(np.isin(value, np.concatenate([np.frombuffer(x, "<i4") for x in hits])))
+            return _ranges(np.frombuffer(table_[0], np.int64)[at], start[at], length).select(["rid", "start", "end"])
 
         for batch in reader:
             for n, rows, starts in zip(*(batch.column(c).to_pylist() for c in ("slice", "rows", "starts")), strict=True):

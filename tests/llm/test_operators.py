@@ -517,3 +517,21 @@ def test_pipeline_columns(spark, sf):
         docs = stage(spark, docs, sf)
         assert docs.columns == columns, name
     assert 0 < docs.count() <= 200
+
+
+def test_suffix_refinement_equals_counting():
+    from collections import Counter
+
+    rnd = random.Random(1)
+    for _ in range(200):
+        length = rnd.randint(1, 20)
+        q = rnd.randint(1, length)
+        data = [bytes(rnd.choices(b"ab", k=rnd.randint(0, 50))) for _ in range(rnd.randint(1, 6))]
+        strings = [(x[i : i + length], r, i) for r, x in enumerate(data) for i in range(len(x) - length + 1)]
+        count = Counter(x for x, _, _ in strings)
+        want = [(r, i) for x, r, i in strings if count[x] > 1]
+        row, within = suffix_dedup.refine(data, length, q)
+        assert list(zip(row.tolist(), within.tolist(), strict=True)) == want
+        ids, row, within = suffix_dedup.final_identifiers(data, length, q)
+        same = Counter(ids.tolist())
+        assert [(r, i) for v, r, i in zip(ids.tolist(), row.tolist(), within.tolist(), strict=True) if same[v] > 1] == want
