@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -79,6 +80,12 @@ def discard(*made: DataFrame) -> None:
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps: it does so when what referred to them is collected, in Python first, which a small driver seldom does by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: The row number that operators give rows; no column of a user's is called so.
 RID = "__docloom_rid"
 

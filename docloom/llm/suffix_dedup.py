@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import RID, Substrings, batches, byte_values, materialize, mix, numbered, prepare, repeated, table
+from docloom.llm.common import RID, Substrings, batches, byte_values, materialize, mix, numbered, prepare, release_shuffles, repeated, table
 
 LENGTH, Q, HOT = 200, 64, 400
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -306,6 +306,8 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, q: int = Q, hot: int
     work = rows.join(per_row, "rid").mapInArrow(_spread(length, q, 4 * n), _WORK_SCHEMA)
     found = work.repartition(n, "kind", "key").sortWithinPartitions("kind", "key").mapInArrow(_settle(length, q), _FOUND_SCHEMA)
     found = materialize(found, "ranges")
+    del dealt, crowded, per_row, work
+    release_shuffles(spark)  # what led to the ranges is not read again
     slices = found.filter("slice is not null").select("slice", "rows", "starts").repartition("slice").sortWithinPartitions("slice", F.col("starts").isNull())
     ranges = found.filter("slice is null").select("rid", "start", "end").union(slices.mapInArrow(_answer(length), "rid long, start int, end int"))
     return ranges.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
