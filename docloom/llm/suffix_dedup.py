@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import RID, Substrings, batches, byte_values, materialize, mix, numbered, prepare, release_shuffles, repeated, table
+from docloom.llm.common import RID, Substrings, batches, byte_values, dealt_rows, materialize, mix, prepare, release_shuffles, repeated, table
 
 LENGTH, Q, HOT = 200, 64, 400
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -74,10 +74,10 @@ def _dealer(length: int, q: int, parts: int):
             for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
                 if b > a:
                     some = order[a:b]
-                    rows.append((k, bucket[some].tobytes(), int(rids[some[0]]), (rids[some] - rids[some[0]]).astype("<i4").tobytes(), anchor[some].astype("<i4").tobytes()))
+                    rows.append((k, bucket[some].tobytes(), rids[some].astype("<i8").tobytes(), anchor[some].astype("<i4").tobytes()))
             if rows:
-                columns = zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["part", "buckets", "rid", "steps", "at"])
+                columns = zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["part", "buckets", "rids", "at"])
 
     return deal
 
@@ -99,12 +99,12 @@ def _crowded(hot: int):
     def run(reader):
         part, rows = None, []
         for batch in reader:
-            for p, b, first, steps, at in zip(*(batch.column(c).to_pylist() for c in ("part", "buckets", "rid", "steps", "at")), strict=True):
+            for p, b, rids, at in zip(*(batch.column(c).to_pylist() for c in ("part", "buckets", "rids", "at")), strict=True):
                 if p != part:
                     if rows:
                         yield close(rows)
                     part, rows = p, []
-                rows.append((np.frombuffer(b, np.uint64), np.frombuffer(steps, "<i4").astype(np.int64) + first, np.frombuffer(at, "<i4")))
+                rows.append((np.frombuffer(b, np.uint64), np.frombuffer(rids, "<i8"), np.frombuffer(at, "<i4")))
         if rows:
             yield close(rows)
 
@@ -300,7 +300,7 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, q: int = Q, hot: int
     """(rid, spans): for each row (rid, text) that has any, the sorted maximal ranges of bytes to remove."""
     spark = rows.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.mapInArrow(_dealer(length, q, 4 * n), "part int, buckets binary, rid long, steps binary, at binary")
+    dealt = rows.mapInArrow(_dealer(length, q, 4 * n), "part int, buckets binary, rids binary, at binary")
     crowded = materialize(dealt.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_crowded(hot), "rid long, at int, hot boolean"), "crowded")
     per_row = crowded.groupBy("rid").agg(F.collect_list(F.struct("at", "hot")).alias("c")).select("rid", F.col("c.at").alias("at"), F.col("c.hot").alias("hot"))
     work = rows.join(per_row, "rid").mapInArrow(_spread(length, q, 4 * n), _WORK_SCHEMA)
@@ -342,7 +342,7 @@ def _digest(reader):
 def suffix_dedup_digests(docs: DataFrame, length: int = LENGTH, q: int = Q, hot: int = HOT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     prepare(docs.sparkSession)
-    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed(RID, "rid")
+    rows = dealt_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed(RID, "rid")
     spans = repeated_ranges(rows.select("rid", "text"), length, q, hot)
     return rows.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -363,7 +363,7 @@ def _cutter(fields: list[str]):
 def apply_suffix_dedup(docs: DataFrame, length: int = LENGTH, q: int = Q, hot: int = HOT) -> DataFrame:
     """``docs`` without the repeated strings in their texts; n_chars follows the text."""
     prepare(docs.sparkSession)
-    rows = numbered(docs)
+    rows = dealt_rows(docs)
     spans = repeated_ranges(rows.select(F.col(RID).alias("rid"), "text"), length, q, hot).toDF(RID, _SPANS)
     out = rows.join(spans, RID, "left").select(*docs.columns, _SPANS).mapInArrow(_cutter(docs.columns), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
