@@ -20,11 +20,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import materialize, prepare, table
-from docloom.llm.token_counts import part_encoder, rows_of
+from docloom.llm.token_counts import part_encoder
 
 CAPACITY = 2048
 BUCKETS = 256
@@ -123,6 +124,17 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return plan
 
 
+def _slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+    """Slices of a batch of about ``most`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int = 0) -> DataFrame:
     """Per piece: row (of ``docs``), doc_id, piece, start, length, ids_crc32; written once."""
 
@@ -130,16 +142,22 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator
         encoder = part_encoder(path, "ids", lambda ids: np.array(ids, dtype="<u4").tobytes())
         end = int(separator).to_bytes(4, "little")
         for batch in reader:
-            for part, texts in rows_of(batch, "text"):
-                out: list[tuple] = []
-                rows, ids_of = part.column("row").to_pylist(), part.column("doc_id").to_pylist()
-                for row, doc, parts in zip(rows, ids_of, encoder(texts), strict=True):
-                    ids = b"".join(parts) + end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        some = ids[at : at + 4 * capacity]
-                        out.append((row, doc, k, at // 4, len(some) // 4, zlib.crc32(some)))
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
+            for part in _slices(batch, "text"):
+                ids, at = encoder.joined(part.column("text"))
+                view = memoryview(ids)
+                n = np.diff(at) // 4 + 1
+                many = -(-n // capacity)
+                of = np.repeat(np.arange(len(n)), many)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * capacity
+                length = np.minimum(capacity, n[of] - start)
+                first = at[of] + 4 * start
+                last = piece == many[of] - 1
+                crc = [zlib.crc32(view[x:y]) for x, y in zip(first.tolist(), (first + 4 * (length - last)).tolist(), strict=True)]
+                for k in np.flatnonzero(last).tolist():
+                    crc[k] = zlib.crc32(end, crc[k])
+                columns = [part.column("row").take(pa.array(of)), part.column("doc_id").take(pa.array(of)), *(pa.array(c, t) for c, t in ((piece, pa.int32()), (start, pa.int64()), (length, pa.int64()), (crc, pa.int64())))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     prepare(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -20,14 +20,15 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import WORKER_CACHES, materialize, prepare, release_memory, shared_dir, table
 
 LIMIT = 2048
-#: Distinct parts that a worker keeps (about 150 MB).
-KEPT_PARTS = 600_000
+#: Distinct parts that a worker keeps.
+KEPT_PARTS = 1_200_000
 #: Digests of 32 bytes that are broadcast at most (about 6 MB).
 KNOWN_DIGESTS = 200_000
 _CACHE_SCHEMA = "content binary, version string, n_tokens long"
@@ -63,8 +64,8 @@ def splits_at_blanks(path: str) -> bool:
 class PartEncoder:
     """ids of texts as the library gives them, with each distinct part between blanks encoded once.
 
-    A part that is a word of letters below U+0300, with a full stop or comma at most behind it, has the pieces of the lower-cased
-    word and of the mark. Such words are encoded many at a time; as each gives one piece, its ids end with the next word-end token.
+    Parts that are a word of letters below U+0300, with a full stop or comma at most behind it, are encoded many at a time; word and mark give
+    one piece each, so a part's ids end with the first or second next word-end token.
     """
 
     def __init__(self, path: str, convert):
@@ -82,37 +83,35 @@ class PartEncoder:
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.known[p] = self.convert(e.ids)
 
-    def _encode_words(self, words: list[str]) -> None:
-        groups = [words[k : k + 500] for k in range(0, len(words), 500)]
-        for some, e in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(x) for x in groups], add_special_tokens=False), strict=True):
-            ids = e.ids
+    def _encode_words(self, words: list[str], marks: list[bool]) -> None:
+        for first in range(0, len(words), 500):
+            some = words[first : first + 500]
+            ids = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids
             ends = np.flatnonzero(self.word_end[np.array(ids, dtype=np.int64)]) + 1
-            if len(ends) != len(some):
+            last = np.cumsum(np.array(marks[first : first + 500], dtype=np.int64) + 1) - 1
+            if len(ends) != last[-1] + 1:
                 self._encode(some)
                 continue
+            ends = ends[last]
             whole, step = self.convert(ids), self.convert([0])
-            starts = [0, *ends[:-1].tolist()]
             if isinstance(whole, bytes):
-                k = len(step)
-                self.known.update({p: whole[k * a : k * b] for p, a, b in zip(some, starts, ends.tolist(), strict=True)})
+                ends = ends * len(step)
+                self.known.update({p: whole[a:b] for p, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)})
             else:
-                self.known.update(zip(some, (ends - starts).tolist(), strict=True))
+                self.known.update(zip(some, np.diff(ends, prepend=0).tolist(), strict=True))
 
     def _learn(self, missing: set[str]) -> None:
-        known, words, composed, others = self.known, set(), [], []
+        words, marks, others = [], [], []
         for p in missing:
-            low = p.lower()
-            mark = low[-1:] if low[-1:] in (".", ",") else ""
-            word = low[:-1] if mark else low
-            if word.isalpha() and (word.isascii() or max(word) < "\u0300"):
-                words.add(word)
-                composed.append((p, word, mark))
+            mark = p[-1:] in (".", ",")
+            word = p[:-1] if mark else p
+            if word.isalpha() and (word.isascii() or max(word.lower()) < "\u0300"):
+                words.append(p)
+                marks.append(mark)
             else:
                 others.append(p)
-        self._encode([*others, *(m for m in (".", ",") if m not in known)])
-        self._encode_words([w for w in words if w not in known])
-        for p, word, mark in composed:
-            known[p] = known[word] + known[mark] if mark else known[word]
+        self._encode(others)
+        self._encode_words(words, marks)
 
     def __call__(self, texts: list[str | None]) -> list[list]:
         """For each text, ``convert(ids)`` of its parts in order."""
@@ -126,6 +125,23 @@ class PartEncoder:
         get = self.known.__getitem__
         return [list(map(get, some)) for some in parts]
 
+    def joined(self, texts: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+        """For a ``convert`` to bytes: those of all texts' ids one after another, and where each text's begin and end. Only a batch's distinct parts are looked up."""
+        if not self.split:
+            some = [b"".join(x) for x in self(texts.to_pylist())]
+            return pa.py_buffer(b"".join(some)), np.concatenate([[0], np.cumsum([len(x) for x in some], dtype=np.int64)])
+        parts = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        code = pc.dictionary_encode(parts.flatten())
+        distinct = code.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > KEPT_PARTS:
+            self.known.clear()
+        if missing := set(distinct).difference(self.known):
+            self._learn(missing)
+        ids = pa.array(list(map(self.known.__getitem__, distinct)), pa.large_binary()).take(code.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        first = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        return ids.buffers()[2] or pa.py_buffer(b""), ends[first]
+
 
 def part_encoder(path: str, kind: str, convert) -> PartEncoder:
     key = f"{kind} {path}"

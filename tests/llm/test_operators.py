@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("docloom.llm.queries")
@@ -165,6 +167,38 @@ def test_packing(docs, empty):
     assert pack.best_fit_packing(empty, path).count() == 0
 
 
+def test_packing_pieces_are_the_library_s_ids(spark):
+    """Each piece's place and checksum against the library, for odd texts and where the separator alone is the last piece."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tk = Tokenizer.from_file(path)
+    texts = ["", None, " ", "\n", "a" * 3000, "the cat, the cat. THE Cat\tsat\u00a0on", "don't it's, (x) 3.14 ,. .", "\u212a \u0130 e\u0301 \u00c9t\u00e9, \u212b.", "<|endoftext|>, x <|startoftext|>", "cat " * 7, "cat " * 8, "cat " * 9]
+    df = _stored(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    want = set()
+    for i, t in enumerate(texts):
+        ids = np.array([*tk.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want |= {(i, k, at, len(ids[at : at + 8]), zlib.crc32(ids[at : at + 8].tobytes())) for k, at in enumerate(range(0, len(ids), 8))}
+    got = pack.best_fit_packing(df, path, capacity=8).collect()
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got} == want and len(got) == len(want)
+
+
+def test_packing_looks_distinct_parts_up_once():
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    path = P.path("word_bpe_49k.json")
+    encoder, text = token_counts.PartEncoder(path, lambda ids: np.array(ids, dtype="<u4").tobytes()), "one two three. " * 500
+    encoder.known = Counting()
+    ids, at = encoder.joined(pa.array([text] * 20))
+    assert np.frombuffer(ids, "<u4").tolist() == 20 * token_counts.load_tokenizer(path).encode(text, add_special_tokens=False).ids
+    assert Counting.asked <= 4 and len(at) == 21
+
+
 def test_packing_plan_uses_complements():
     plan = pack.plan_packing({60: 10, 40: 5, 25: 5, 15: 5, 100: 2}, 100)
     assert plan.n_sequences == 12
