@@ -451,6 +451,21 @@ def test_passages_within_one_text(spark):
     assert any(a <= 3 and e >= 67 for _, a, e, _ in got) and any(a <= 273 and e >= 337 for _, a, e, _ in got)
 
 
+def test_passages_of_texts_from_many_tasks(spark):
+    """A task that reads the rows that many tasks have numbered meets numbers that are far apart; each window keeps its own text's."""
+    rng = random.Random(7)
+    passages = [" ".join(f"p{k}x{i}" for i in range(60)) for k in range(20)]
+    rows = [(i, " ".join([*(f"w{rng.random()}" for _ in range(10 + i)), passages[i % 20], *(f"w{rng.random()}" for _ in range(5))]), "en", "s", 1) for i in range(40)]
+    df = _stored(spark, rows, SCHEMA).repartition(40)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        got = rows_of(passage_dedup.passage_dedup(df), "doc_id", "start_word", "end_word", "other_doc_id")
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert got == sorted(((i, 10 + i, 70 + i, (i + 20) % 40) for i in range(40)), key=str)
+
+
 def test_passages_that_no_pivot_shares(spark, monkeypatch):
     """With one pivot, members near a common phrase find their partners among the rest of the group."""
     rng = random.Random(12)
