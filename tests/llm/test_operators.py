@@ -466,6 +466,19 @@ def test_passages_of_texts_from_many_tasks(spark):
     assert got == sorted(((i, 10 + i, 70 + i, (i + 20) % 40) for i in range(40)), key=str)
 
 
+def test_passage_steps_send_one_row_from_task_to_task(spark, docs, monkeypatch):
+    rows, n = {}, int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def counted(df, label, made=passage_dedup.materialize):
+        out = made(df, label)
+        rows.setdefault(label, out.filter("part >= 0").count() if label == "agreements" else 0)
+        return out
+
+    monkeypatch.setattr(passage_dedup, "materialize", counted)
+    assert passage_dedup.passage_dedup(docs).count()
+    assert 0 < rows["agreements"] <= n * n
+
+
 def test_passages_that_no_pivot_shares(spark, monkeypatch):
     """With one pivot, members near a common phrase find their partners among the rest of the group."""
     rng = random.Random(12)
