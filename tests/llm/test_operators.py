@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -479,6 +480,22 @@ def test_passage_steps_send_one_row_from_task_to_task(spark, docs, monkeypatch):
     assert 0 < rows["agreements"] <= n * n
 
 
+def test_finished_steps_leave_no_shuffle_files(spark, docs):
+    from docloom.llm.common import materialize, releasing_shuffles
+
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().shuffleManager().shuffleBlockResolver()
+    held = lambda: kept.getStoredShuffles().size()
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    with releasing_shuffles(spark):
+        materialize(docs.repartition(3, "doc_id"), "dealt")
+        for _ in range(50):
+            if held() <= before:
+                break
+            time.sleep(0.1)
+        assert held() <= before
+    assert spark.conf.get(name, "false") == "false"
+
+
 def test_passages_that_no_pivot_shares(spark, monkeypatch):
     """With one pivot, members near a common phrase find their partners among the rest of the group."""
     rng = random.Random(12)
