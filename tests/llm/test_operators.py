@@ -480,6 +480,15 @@ def test_passage_steps_send_one_row_from_task_to_task(spark, docs, monkeypatch):
     assert 0 < rows["agreements"] <= n * n
 
 
+def test_block_comparison_gives_a_pair_once():
+    """Ten wishes of one text for the same partner leave as one region."""
+    codes, places = np.arange(80, dtype="<u4").tobytes(), np.arange(80, dtype="<i4").tobytes()
+    asked = np.array([[0, 79, 20 + k, 30, -1] for k in range(10)], "<i4").tobytes()
+    rows = [{"leader": 1, "i": 0, "j": 0, "rid": r, "codes": codes, "places": places, "asked": asked if r == 1 else b"", "left": r == 1, "right": True} for r in (1, 2)]
+    got = [x for batch in passage_dedup._partners(46, 75)([pa.RecordBatch.from_pylist(rows)]) for x in batch.to_pylist()]
+    assert got == [{"ra": 1, "rb": 2, "x": 0, "y": 79, "u": 0, "v": 79}]
+
+
 def test_finished_steps_leave_no_shuffle_files(spark, docs):
     from docloom.llm.common import materialize, releasing_shuffles
 
