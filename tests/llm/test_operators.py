@@ -489,6 +489,33 @@ def test_block_comparison_gives_a_pair_once():
     assert got == [{"ra": 1, "rb": 2, "x": 0, "y": 79, "u": 0, "v": 79}]
 
 
+def test_block_comparison_matches_repeated_shingles_once(monkeypatch):
+    """Texts of one shingle a thousand times are a thousand matches, not a million; all asked regions come, also those that another one holds."""
+    hits = []
+
+    def counted(row, *rest, made=passage_dedup._sums):
+        hits.append(len(row))
+        return made(row, *rest)
+
+    monkeypatch.setattr(passage_dedup, "_sums", counted)
+    codes, places = np.concatenate([np.full(1000, 7), np.arange(1000, 1080)]).astype("<u4").tobytes(), np.arange(1080, dtype="<i4").tobytes()
+    asked = np.array([[990, 1079, 1020, 1030, -1], [1000, 1070, 1020, 1030, -1]], "<i4").tobytes()
+    rows = [{"leader": 1, "i": 0, "j": 0, "rid": r, "codes": codes, "places": places, "asked": asked if r == 1 else b"", "left": r == 1, "right": True} for r in (1, 2)]
+    got = [x for batch in passage_dedup._partners(46, 75)([pa.RecordBatch.from_pylist(rows)]) for x in batch.to_pylist()]
+    assert any((x["ra"], x["rb"]) == (1, 2) and x["x"] <= 990 and x["y"] == 1079 and (x["u"], x["v"]) == (0, 1079) for x in got)
+    assert 0 < max(hits) <= 2 * 1080
+
+
+def test_passage_steps_leave_only_tables_that_are_read_again(spark, docs, monkeypatch, tmp_path):
+    from docloom.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    got = passage_dedup.passage_dedup(docs)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir() if "-" in p.name}
+    assert left and left <= {"words", "verified", "longer"}, left
+    assert got.count()
+
+
 def test_finished_steps_leave_no_shuffle_files(spark, docs):
     from docloom.llm.common import materialize, releasing_shuffles
 
