@@ -618,6 +618,59 @@ def test_similar_runs_find_one_edit_anywhere(n):
         assert sum(max(0, min(q + 5, 20 + n) - max(p, 20)) for p, q, _, _ in got) >= n - min(edit + 1, n - edit, 5), (n, edit)
 
 
+def test_pairs_are_verified_together(monkeypatch):
+    """Thirty pairs, of which some share several passages, are searched in two steps and give what each gives alone."""
+    rng, rows, made, calls = random.Random(3), [], passage_dedup._Regions, []
+    for k in range(30):
+        a = [f"a{k}x{i}" for i in range(400)]
+        b = [f"b{k}x{i}" for i in range(400)]
+        for first in (20, 120, 260):
+            b[first + 5 : first + 75] = a[first : first + 70]
+            b[first + rng.randrange(30, 40)] = "e"
+        found = np.array([[0, 180, 0, 190], [100, 395, 100, 395]], "<i4").tobytes()
+        rows += [{"ra": k, "rb": 100 + k, "side": x, "lo": 0, "words": " ".join(w).encode(), "found": found} for x, w in enumerate((a, b))]
+
+    def counted(*given):
+        calls.append(1)
+        return made(*given)
+
+    monkeypatch.setattr(passage_dedup, "_Regions", counted)
+
+    def verified(some):
+        return sorted(tuple(x.values()) for batch in passage_dedup._verifier(5, 46, 75)([pa.RecordBatch.from_pylist(some)]) for x in batch.to_pylist())
+
+    got, steps = verified(rows), len(calls)
+    assert steps == 2 and len(got) >= 2 * 3 * 30
+    assert got == sorted(x for k in range(0, 60, 2) for x in verified(rows[k : k + 2]))
+
+
+def test_compared_texts_are_cut_once(spark, monkeypatch, tmp_path):
+    """A text that is compared with a few others goes to the step that cuts out its words once, not once for each of them."""
+    passage = [f"p{k}" for k in range(80)]
+    df = _stored(spark, [(i, " ".join([*(f"l{i}x{k}" for k in range(30)), *passage, *(f"r{i}x{k}" for k in range(30))]), "en", "s", 1) for i in range(4)], SCHEMA)
+    made, folder = passage_dedup._pieces, str(tmp_path)
+
+    def counted(size):
+        kernel = made(size)
+
+        def run(reader):
+            import pathlib
+            import uuid
+
+            def seen():
+                for batch in reader:
+                    pathlib.Path(folder, uuid.uuid4().hex).write_text(str(batch.num_rows))
+                    yield batch
+
+            yield from kernel(seen())
+
+        return run
+
+    monkeypatch.setattr(passage_dedup, "_pieces", counted)
+    assert {r["doc_id"] for r in passage_dedup.passage_dedup(df).collect()} == set(range(4))
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 4
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
