@@ -103,30 +103,47 @@ def balance_tables(c: Column) -> Column:
     return F.when(closes > opens, fewer).when(opens > closes, more).otherwise(c)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value made once: an expression that a lambda names is otherwise made anew for every element, and wherever it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_table(c: Column, budget: Column | int, count=word_count) -> Column:
     """A table's rows in parts of at most 95 % of the budget, each with the header rows; the table itself if that cannot be."""
-    rows = F.regexp_extract_all(c, F.lit(r"(?is)<tr[^>]*>.*?</tr>"), F.lit(0))
-    marked = F.filter(rows, lambda x: x.rlike("(?i)<th"))
-    head = F.when(F.size(marked) > 0, marked).otherwise(F.slice(rows, 1, 1))
-    body = F.when(F.size(marked) > 0, F.filter(rows, lambda x: ~x.rlike("(?i)<th"))).otherwise(F.slice(rows, 2, F.greatest(F.size(rows), F.lit(1))))
-    opening = F.concat(F.regexp_extract(c, r"(?is)<table[^>]*>", 0), F.lit("\n"), F.array_join(head, "\n"), F.lit("\n"))
-    room = F.floor(F.lit(0.95) * (budget if isinstance(budget, Column) else F.lit(budget))) - count(F.concat(opening, F.lit("</table>")))
-    packed = pack(body, room, "\n", count)
-    made = F.transform(packed, lambda x: F.concat(opening, x, F.lit("\n</table>")))
-    return F.when((F.size(body) > 0) & (room > 0), made).otherwise(F.array(c))
+    most = F.floor(F.lit(0.95) * (budget if isinstance(budget, Column) else F.lit(budget)))
 
+    def split(c: Column, rows: Column, marked: Column) -> Column:
+        head = F.when(F.size(marked) > 0, marked).otherwise(F.slice(rows, 1, 1))
+        body = F.when(F.size(marked) > 0, F.filter(rows, lambda x: ~x.rlike("(?i)<th"))).otherwise(F.slice(rows, 2, F.greatest(F.size(rows), F.lit(1))))
+        opening = F.concat(F.regexp_extract(c, r"(?is)<table[^>]*>", 0), F.lit("\n"), F.array_join(head, "\n"), F.lit("\n"))
+        return let(F.struct(body.alias("body"), opening.alias("opening")), lambda x: made(c, x["body"], x["opening"]))
 
-def pack(items: Column, budget: Column | int, joiner: str, count=word_count) -> Column:
-    """Neighbours joined as long as the count of the whole stays within the budget."""
-    budget = budget if isinstance(budget, Column) else F.lit(budget)
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
+    def made(c: Column, body: Column, opening: Column) -> Column:
+        def packed(room: Column) -> Column:
+            parts = F.transform(pack(body, room, "\n", count), lambda x: F.concat(opening, x, F.lit("\n</table>")))
+            return F.when((F.size(body) > 0) & (room > 0), parts).otherwise(F.array(c))
+
+        return let(most - count(F.concat(opening, F.lit("</table>"))), packed)
+
+    rows = lambda c: F.regexp_extract_all(c, F.lit(r"(?is)<tr[^>]*>.*?</tr>"), F.lit(0))
+    return let(c, lambda c: let(rows(c), lambda r: let(F.filter(r, lambda x: x.rlike("(?i)<th")), lambda m: split(c, r, m))))
 
-    def step(acc: Column, x: Column) -> Column:
-        longer = F.when(acc["cur"] == "", x).otherwise(F.concat(acc["cur"], F.lit(joiner), x))
-        fits = (count(longer) <= budget) | (acc["cur"] == "")
-        return F.when(fits, F.struct(acc["done"].alias("done"), longer.alias("cur"))).otherwise(F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), x.alias("cur")))
 
-    return F.aggregate(items, start, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
+def pack(items: Column, budget: Column | int, joiner: str, count=word_count) -> Column:
+    """Neighbours joined as long as the count of the whole stays within the budget. Words with white space between them add up, so they are counted once an item."""
+    budget = budget if isinstance(budget, Column) else F.lit(budget)
+    adds = count is word_count and joiner != "" and joiner.isspace()
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
+
+    def step(acc: Column, x: Column, n: Column) -> Column:
+        none = acc["cur"] == ""
+        longer = F.when(none, x).otherwise(F.concat(acc["cur"], F.lit(joiner), x))
+        total = acc["n"] + n if adds else count(longer)
+        flushed = F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), x.alias("cur"), n.alias("n"))
+        return F.when(none | (total <= budget), F.struct(acc["done"].alias("done"), longer.alias("cur"), (acc["n"] + n).alias("n"))).otherwise(flushed)
+
+    counted = lambda acc, x: let(count(x), lambda n: step(acc, x, n)) if adds else step(acc, x, F.lit(0))
+    return F.aggregate(items, start, counted, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
 
 
 def legal_split(c: Column, budget: int, count=word_count) -> Column:

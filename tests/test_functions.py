@@ -34,6 +34,12 @@ def test_tables_keep_headers(spark):
     assert one(spark, lambda c: T.split_table(c, 1), table) == [table]
 
 
+def test_rows_of_a_table_are_found_once(spark):
+    made = spark.createDataFrame([("<table><tr><th>k v</th></tr>" + "".join(f"<tr><td>r {i}</td></tr>" for i in range(9)) + "</table>",)], "html string").select(T.split_table(F.col("html"), 20).alias("p"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert [x.count("<td>") for x in made.first()["p"]] == [7, 2]
+
+
 def test_number_gate(spark):
     df = spark.createDataFrame([("Il 22% su € 1.000,00?", "22%"), ("Chi?", "Lui")], "q string, a string")
     assert [r["m"] for r in df.select(missing_numbers(F.col("q"), F.col("a")).alias("m")).collect()] == [["€ 1000.00"], []]
