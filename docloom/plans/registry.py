@@ -46,7 +46,7 @@ def bm25_tokens(spark, sf):
 
 @query
 def bm25_df_tf(spark, sf):
-    return B.term_statistics(B.postings(t(spark, sf, "documents"))).select("term", "df", F.col("total").alias("total_tf"))
+    return B.term_statistics(B.bags(t(spark, sf, "documents"))).filter("term IS NOT NULL").select("term", "df", F.col("total").alias("total_tf"))
 
 
 def ranked(spark, sf):
@@ -62,7 +62,7 @@ def negatives(spark, sf):
     best = written(ranked(spark, sf), "ranked")
     docs = t(spark, sf, "documents")
     gold = best.filter("rank = 1").select("question", "doc")
-    return docs, gold, B.hard_negatives(best, docs, gold)
+    return docs, gold, written(B.hard_negatives(best, docs, gold), "hard")
 
 
 @query

@@ -1,4 +1,5 @@
 import json
+import math
 import random
 
 import pytest
@@ -133,6 +134,49 @@ def test_rankings_are_filled_up(spark):
     assert [r["doc"] for r in got] == [63, 0, 7, 14, 21] and got[0]["score"] > 0 == got[1]["score"]
 
 
+def test_ranking_leaves_documents_where_they_are(spark, monkeypatch):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(12))
+    rows = [(i, f"{text()}, È\x1c{text()}\u00a0x") for i in range(120)] + [(500, None), (501, ""), (3, " ".join(["w1"] * 25))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    questions = spark.createDataFrame([(i, text()) for i in range(7)] + [(9, "niente")], "item_id long, text string")
+    # By hand: rows of one id are one document of their words, null texts count as documents alone
+    tokens = {}
+    for d, x in rows:
+        tokens.setdefault(d, []).extend(one(spark, T.bm25_tokens, x) or [] if d in (3, 7, 500) else x.lower().replace(",", "").replace("\x1c", "\x01").split())
+    tokens = {d: [x.replace("\x01", "\x1c") for x in t] for d, t in tokens.items()}
+    size = {d: 25 if d == 3 else len(t) for d, t in tokens.items()}
+    assert size[7] == len(tokens[7]) == 25 == len(tokens[3]) / 2
+    mean_dl = sum(len(t) for t in tokens.values()) / (len(rows) - 1)
+    df = {}
+    for t in tokens.values():
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    idf = {x: math.log((len(rows) - n + 0.5) / (n + 0.5)) for x, n in df.items()}
+    mean = sum(idf.values()) / len(idf)
+    want = {}
+    for q in questions.collect():
+        score = {d: 0.0 for d in tokens}
+        for x in q["text"].split():
+            for d, t in tokens.items():
+                tf = t.count(x)
+                score[d] += (0.25 * mean if idf.get(x, 0) < 0 else idf.get(x, 0)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * size[d] / mean_dl))
+        want[q["item_id"]] = sorted(((-round(v, 6), d) for d, v in score.items()))[:20]
+    best = B.bm25(docs, questions, k=20)
+    plan = best._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" not in plan and plan.count("MapInArrow") == 1
+    for few in (False, True):
+        if few:
+            monkeypatch.setattr(B, "QUESTIONS", 3)
+            monkeypatch.setattr(B, "CELLS", 40)
+            monkeypatch.setattr(B, "HELD", 30)
+            best = B.bm25(docs, questions, k=20)
+        got = {}
+        for r in best.orderBy("question", "rank").collect():
+            got.setdefault(r["question"], []).append((-r["score"], r["doc"]))
+        assert {q: sorted(x) for q, x in got.items()} == want
+
+
 def test_strict_lines_fail_on_a_blank_one(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": 1}\n\n{"id": 2}\n')
     assert io.json_lines(spark, str(tmp_path), io.CHUNK).count() == 2
