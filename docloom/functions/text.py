@@ -97,7 +97,10 @@ def repair_tables(c: Column) -> Column:
 
 def balance_tables(c: Column) -> Column:
     """As many closing as opening tags: surplus ones go from the front, missing ones are added at the end."""
-    opens, closes = F.regexp_count(c, F.lit("(?i)<table")), F.regexp_count(c, F.lit("(?i)</table>"))
+    return let(c, lambda c: let(F.struct(F.regexp_count(c, F.lit("(?i)<table")).alias("opens"), F.regexp_count(c, F.lit("(?i)</table>")).alias("closes")), lambda n: _balanced(c, n["opens"], n["closes"])))
+
+
+def _balanced(c: Column, opens: Column, closes: Column) -> Column:
     fewer = F.aggregate(F.sequence(F.lit(1), F.greatest(closes - opens, F.lit(1))), c, lambda acc, _: F.regexp_replace(acc, r"(?isU)\A(.*?)\s*</table>\s*", "$1"))
     more = F.concat(F.regexp_replace(c, r"(?U)\s+\z", ""), F.repeat(F.lit("\n</table>"), F.greatest(opens - closes, F.lit(0))))
     return F.when(closes > opens, fewer).when(opens > closes, more).otherwise(c)
@@ -148,7 +151,10 @@ def pack(items: Column, budget: Column | int, joiner: str, count=word_count) ->
 
 def legal_split(c: Column, budget: int, count=word_count) -> Column:
     """Parts at lettered or numbered items in italics (``*a)``), packed up to the budget; a numbered preamble stays with the first item."""
-    pieces = F.split(c, r"(?i)(?=\n\*(?:[a-z]|[a-z]+-[a-z]+|[0-9]+)\))")
+    return let(c, lambda c: let(F.split(c, r"(?i)(?=\n\*(?:[a-z]|[a-z]+-[a-z]+|[0-9]+)\))"), lambda pieces: _legal(c, pieces, budget, count)))
+
+
+def _legal(c: Column, pieces: Column, budget, count) -> Column:
     glued = F.size(pieces).__gt__(1) & stripped(pieces[0]).rlike(r"(?md)\d+\.\s+\*?[^*\n]+\*?\s*[:.]?\s*$")
     items = F.when(glued, F.concat(F.array(F.concat(pieces[0], F.coalesce(F.get(pieces, F.lit(1)), F.lit("")))), F.slice(pieces, 3, F.greatest(F.size(pieces), F.lit(1))))).otherwise(pieces)
     packed = F.filter(F.transform(pack(items, budget, "", count), stripped), lambda x: x != "")
@@ -158,23 +164,27 @@ def legal_split(c: Column, budget: int, count=word_count) -> Column:
 def paragraph_pack(c: Column, budget: int, count=word_count, cut_at=sentences) -> Column:
     """Paragraphs packed up to the budget; an oversize one is cut into sentences only if nothing is pending before it."""
     paragraphs = F.filter(F.transform(F.split(c, r"(?U)\n\s*\n"), stripped), lambda x: x != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
+    adds = count is word_count
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
 
-    def step(acc: Column, x: Column) -> Column:
+    def step(acc: Column, x: Column, n: Column) -> Column:
         longer = F.when(acc["cur"] == "", x).otherwise(F.concat(acc["cur"], F.lit("\n\n"), x))
-        flushed = F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), x.alias("cur"))
-        cut = F.struct(F.concat(acc["done"], pack(F.filter(F.transform(cut_at(x), stripped), lambda y: y != ""), budget, " ", count)).alias("done"), F.lit("").alias("cur"))
-        return F.when(count(longer) <= budget, F.struct(acc["done"].alias("done"), longer.alias("cur"))).when(acc["cur"] == "", cut).otherwise(flushed)
+        total = acc["n"] + n if adds else count(longer)
+        flushed = F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), x.alias("cur"), n.alias("n"))
+        cut = F.struct(F.concat(acc["done"], pack(F.filter(F.transform(cut_at(x), stripped), lambda y: y != ""), budget, " ", count)).alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
+        return F.when(total <= budget, F.struct(acc["done"].alias("done"), longer.alias("cur"), (acc["n"] + n).alias("n"))).when(acc["cur"] == "", cut).otherwise(flushed)
 
-    return F.aggregate(paragraphs, start, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
+    counted = lambda acc, x: let(count(x), lambda n: step(acc, x, n)) if adds else step(acc, x, F.lit(0))
+    return F.aggregate(paragraphs, start, counted, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))))
 
 
 def truncated(c: Column, budget: int, count=word_count) -> Column:
     """A text above the budget cut to ten words less than it, without a tag that was cut open near the end, and with its tables closed."""
     pieces = F.split(c, r"(?U)(?<=\s)(?=\S)")
     cut = F.array_join(F.slice(pieces, 1, max(1, budget - 10)), "")
-    open_tag = F.right(cut, F.lit(50)).contains("<") & ~F.right(cut, F.lit(20)).contains(">")
-    return F.when(count(c) <= budget, c).otherwise(balance_tables(F.when(open_tag, F.regexp_replace(cut, r"(?s)<[^<]*\z", "")).otherwise(cut)))
+    open_tag = lambda cut: F.right(cut, F.lit(50)).contains("<") & ~F.right(cut, F.lit(20)).contains(">")
+    closed = let(cut, lambda cut: balance_tables(F.when(open_tag(cut), F.regexp_replace(cut, r"(?s)<[^<]*\z", "")).otherwise(cut)))
+    return F.when(count(c) <= budget, c).otherwise(closed)
 
 
 def content_length(c: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.operators.splitting import split_sections
-from docloom.session import running_sum
+from docloom.session import running_sum, written
 
 #: Defaults of the chunker: tokens in a chunk, words and characters below which one is dropped.
 MAX_TOKENS, MIN_WORDS, MIN_CHARS = 1024, 10, 500
@@ -43,7 +43,9 @@ def toc_states(parts: DataFrame) -> DataFrame:
     has_index = F.upper("body").contains("# INDICE")
     entry = T.is_toc_entry(head) | T.has_toc_lines(F.col("body")) | head.rlike(r"(?U)^##\s*\*.*\*\z")
     index_header = head.rlike(r"(?iU)^##\s*Indice")
-    rows = parts.withColumn("page_no", page_no).withColumn("is_page", F.col("page_no") != "").withColumn("prelude", F.col("pos") == 0)
+    # Columns of their own are made once a row, however often they are named
+    rows = parts.withColumns({"page_no": page_no, "prelude": F.col("pos") == 0, "has_index": has_index, "entry": entry, "index_header": index_header}).withColumn("is_page", F.col("page_no") != "")
+    has_index, entry, index_header = F.col("has_index"), F.col("entry"), F.col("index_header")
     const = (
         F.when(F.col("prelude"), has_index.cast("int"))
         .when(F.col("is_page") & has_index, F.lit(1)).when(F.col("is_page"), F.lit(None))
@@ -85,13 +87,18 @@ def split_long(body, budget, count=T.word_count):
     """Legal items first; then paragraphs, packed with each table counted as one mark. Where the tables themselves do not fit, they are cut by rows between the texts around them."""
 
     def with_tables(x):
-        found = T.tables(x)
+        return T.let(T.tables(x), lambda found: around(x, found))
+
+    def around(x, found):
         between = F.split(x, r"(?is)<table[^>]*>.*?</table>")
         marked = F.array_join(F.transform(between, lambda y, i: F.when(i < F.size(found), F.concat(y, F.lit(_TABLE), i.cast("string"), F.lit(_TABLE))).otherwise(y)), "")
 
         def restored(part):
             # Every second piece is the number of a table
             pieces = F.transform(F.split(part, _TABLE), lambda y, i: F.when(i % 2 == 1, F.get(found, F.try_to_number(y, F.lit("999999999")).cast("int"))).otherwise(y))
+            return T.let(pieces, whole_or_apart)
+
+        def whole_or_apart(pieces):
             whole = F.array_join(pieces, "")
             apart = F.flatten(F.transform(pieces, lambda y, i: F.when(i % 2 == 1, T.split_table(y, budget, count)).when(T.stripped(y) != "", F.array(T.stripped(y))).otherwise(F.array().cast("array<string>"))))
             return F.when((F.size(pieces) == 1) | (count(whole) <= budget), F.array(whole)).otherwise(apart)
@@ -112,18 +119,21 @@ def chunks(docs: DataFrame, max_tokens: int = MAX_TOKENS, min_words: int = MIN_W
     line = F.concat(F.lit("> "), F.col("m.source_cleaned"), F.lit(" "), F.col("m.year"), F.lit(" | "), F.col("m.topic"), F.lit(" | p."), F.col("page"), F.lit(" <\n\n"))
     rows = rows.withColumn("lead", F.concat(line, T.stripped(F.col("title")), F.lit("\n\n")))
     if make_tokenizer is not None:
-        made = split_sections(rows, make_tokenizer, max_tokens, min_words)
+        made = split_sections(rows, make_tokenizer, max_tokens, min_words).withColumn("content", T.balance_tables(F.col("content")))
     else:
         rows = rows.withColumn("budget", F.lit(max_tokens) - T.word_count(F.col("lead")))
-        parts = rows.select("source", "sec", "clean", "lead", F.posexplode(split_long(F.col("body"), F.col("budget"))).alias("k", "part")).filter(T.word_count(F.col("part")) >= min_words)
-        made = parts.withColumn("content", T.truncated(F.concat("lead", T.stripped(F.col("part"))), max_tokens))
-    kept = made.withColumn("content", T.balance_tables(F.col("content"))).filter(T.content_length(F.col("content")) >= min_chars)
+        # Within the generator, so that the filter on the content does not make it a second time
+        content = lambda x: T.let(F.concat("lead", T.stripped(x)), lambda c: T.balance_tables(T.truncated(c, max_tokens)))
+        contents = F.transform(split_long(F.col("body"), F.col("budget")), lambda x: F.when(T.word_count(x) >= min_words, content(x)))
+        made = rows.select("source", "sec", "clean", F.posexplode(contents).alias("k", "content"))
+    kept = made.filter(T.content_length(F.col("content")) >= min_chars)
     order = Window.partitionBy("source").orderBy("sec", "k")
     return kept.select("source", (F.row_number().over(order) - 1).alias("seq"), F.col("clean").alias("title"), "content")
 
 
 def with_ids(chunks_: DataFrame) -> DataFrame:
     """Dense 0-based ids by (source, seq): a position within the source plus the sizes of the sources before."""
+    chunks_ = written(chunks_, "chunks")
     sizes = running_sum(chunks_.groupBy("source").agg(F.count(F.lit(1)).alias("size")), "source", "size", "upto")
     before = sizes.select(F.col("source").alias("same"), (F.col("upto") - F.col("size")).alias("before"))
     own = F.row_number().over(Window.partitionBy("source").orderBy("seq")) - 1

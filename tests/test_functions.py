@@ -101,6 +101,13 @@ def test_chunks_are_whole(spark):
     assert text.split() == body.split()[: len(text.split())] and len(text.split()) > 0.95 * len(body.split())
 
 
+def test_chunks_are_made_once(spark):
+    md = spark.createDataFrame([("a.md", "## Uno\n" + "parola altra. " * 60)], "source string, md string")
+    numbered = C.with_ids(C.chunks(md, max_tokens=60, min_words=2, min_chars=10))
+    assert "Generate" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["id"] for r in numbered.orderBy("id").collect()] == list(range(numbered.count())) != []
+
+
 def test_null_source_keeps_its_chunks(spark):
     rows = [(None, 1, "a", "x"), (None, 2, "a", "y"), ("s", 1, "a", "z"), ("s", 2, None, "w")]
     df = spark.createDataFrame(rows, "source string, id long, title string, content string")
